@@ -12,7 +12,7 @@ from .health import (
     node_weights,
     switch_counts,
 )
-from .lookup import bounded_rows, lookup_join
+from .lookup import bounded_rows, local_table, lookup_join
 from .mirrors import merge_mirrors, tag_mirrors
 from .numbering import assign_target_offsets, number_rows
 from .offsets import (
@@ -48,6 +48,7 @@ __all__ = [
     "gap_report",
     "high_watermarks",
     "lag_breaches",
+    "local_table",
     "lookup_join",
     "merge_mirrors",
     "node_health_summary",

@@ -1,19 +1,18 @@
 """Choosing among mirrored sources by their polled end offsets.
 
 The history operators look back over all earlier ticks of a topic. They work on
-slices of time (a day by default): each slice is reduced on its own, the few
+slices of time (an hour by default): each slice is reduced on its own, the few
 slice results are run through in order, and the answer enters the slices again.
 No task ever holds more than one slice of a topic's ticks.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SLICE = "day"
+SLICE = "hour"
 NONE = -1  # stands for "no node" inside the folds below
 
 
@@ -62,6 +61,74 @@ def best_per_tick(weights: DataFrame) -> DataFrame:
     )
 
 
+def _ticks(health: DataFrame, slice_by: str) -> DataFrame:
+    """One row per tick, laid out by slice: its nodes, and the best if any.
+
+    Everything below groups by topic and slice, so this is the only shuffle of
+    ticks; later ones move slice results.
+    """
+    standing = F.struct("weight", (-F.col("node_id")).alias("lowest"), "node_id")
+    return (
+        node_weights(health)
+        .withColumn("_slice", F.date_trunc(slice_by, F.col("tick")))
+        .repartition("topic", "_slice")
+        .groupBy("topic", "_slice", "tick")
+        .agg(
+            F.collect_list(F.struct("node_id", "weight")).alias("_nodes"),
+            F.max("weight").alias("_most"),
+            F.max(F.when(_healthy(), standing)).alias("_best"),
+        )
+    )
+
+
+def _with_candidates(
+    ticks: DataFrame, initial_weight: int, state: DataFrame | None
+) -> DataFrame:
+    """Add ``candidate`` and ``record`` by the record-high rule.
+
+    The last record of a slice is the first tick at its highest weight, so a
+    slice is summed up by that weight and node.
+    """
+    weight = F.col("_best.weight")
+    slices = ticks.groupBy("topic", "_slice").agg(
+        F.max(weight).alias("_high"),
+        F.max_by("_best.node_id", F.struct(weight, -F.unix_micros("tick"))).alias("_high_node"),
+    )
+    if state is None:
+        slices = slices.withColumn("_record0", F.lit(initial_weight).cast("bigint"))
+        slices = slices.withColumn("_candidate0", F.lit(None).cast("int"))
+    else:
+        known = state.select(
+            "topic", F.col("record").alias("_record0"), F.col("candidate").alias("_candidate0")
+        )
+        slices = slices.join(known, "topic", "left").withColumn(
+            "_record0", F.coalesce("_record0", F.lit(initial_weight))
+        )
+    earlier = W.partitionBy("topic").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    entered = (
+        slices.withColumn("_record", F.greatest(F.max("_high").over(earlier), "_record0"))
+        .withColumn("_taken", F.when(F.col("_high") > F.col("_record"), F.col("_high_node")))
+        .select(
+            "topic",
+            "_slice",
+            "_record",
+            F.coalesce(
+                F.last("_taken", ignorenulls=True).over(earlier), "_candidate0"
+            ).alias("_candidate"),
+        )
+    )
+    inside = W.partitionBy("topic", "_slice").orderBy("tick")
+    before = F.max(weight).over(inside.rowsBetween(W.unboundedPreceding, -1))
+    latest = F.last("_taken", ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0))
+    return (
+        ticks.join(entered, ["topic", "_slice"])
+        .withColumn("_record", F.greatest(before, "_record"))
+        .withColumn("_taken", F.when(weight > F.col("_record"), F.col("_best.node_id")))
+        .withColumn("candidate", F.coalesce(latest, "_candidate"))
+        .withColumn("record", F.greatest(weight, "_record"))
+    )
+
+
 def candidate_history(
     health: DataFrame,
     initial_weight: int = 0,
@@ -77,56 +144,8 @@ def candidate_history(
     start values of its topics. Returns tick, topic, node_id and weight, which
     is the remembered one.
     """
-    ticks = best_per_tick(node_weights(health)).withColumn(
-        "_slice", F.date_trunc(slice_by, F.col("tick"))
-    )
-    in_slice = W.partitionBy("topic", "_slice").orderBy("tick")
-    by_slice = W.partitionBy("topic").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-
-    highs = (
-        ticks.groupBy("topic", "_slice")
-        .agg(F.max("weight").alias("_high"))
-        .withColumn("_high_before", F.max("_high").over(by_slice))
-        .drop("_high")
-    )
-    if state is None:
-        ticks = ticks.withColumn("_record0", F.lit(initial_weight).cast("bigint")).withColumn(
-            "_candidate0", F.lit(None).cast("int")
-        )
-    else:
-        start = state.select(
-            "topic", F.col("record").alias("_record0"), F.col("candidate").alias("_candidate0")
-        )
-        ticks = ticks.join(start, "topic", "left").withColumn(
-            "_record0", F.coalesce("_record0", F.lit(initial_weight))
-        )
-    seen = F.max("weight").over(in_slice.rowsBetween(W.unboundedPreceding, -1))
-    marked = (
-        ticks.join(highs, ["topic", "_slice"])
-        .withColumn("_record", F.greatest(seen, "_high_before", "_record0"))
-        .withColumn(
-            "_taken", F.when(F.col("weight") > F.col("_record"), F.col("node_id"))
-        )
-    )
-    carried = (
-        marked.where(F.col("_taken").isNotNull())
-        .groupBy("topic", "_slice")
-        .agg(F.max_by("_taken", "tick").alias("_last"))
-    )
-    # Slices without a change still need the candidate carried into them.
-    carried = (
-        highs.select("topic", "_slice")
-        .join(carried, ["topic", "_slice"], "left")
-        .select(
-            "topic", "_slice", F.last("_last", ignorenulls=True).over(by_slice).alias("_carried")
-        )
-    )
-    latest = F.last("_taken", ignorenulls=True).over(in_slice.rowsBetween(W.unboundedPreceding, 0))
-    return marked.join(carried, ["topic", "_slice"]).select(
-        "tick",
-        "topic",
-        F.coalesce(latest, "_carried", "_candidate0").alias("node_id"),
-        F.greatest("weight", "_record").alias("weight"),
+    return _with_candidates(_ticks(health, slice_by), initial_weight, state).select(
+        "tick", "topic", F.col("candidate").alias("node_id"), F.col("record").alias("weight")
     )
 
 
@@ -148,120 +167,109 @@ def active_history(
     """
     if threshold < 0:
         raise ValueError("threshold must not be negative")
-    weights = node_weights(health)
-    candidates = candidate_history(health, initial_weight, state, slice_by)
-    # One row per tick: the nodes that may stay if active, and who follows else.
-    ticks = (
-        weights.groupBy("tick", "topic")
-        .agg(
-            F.collect_list(F.struct("node_id", "weight")).alias("_nodes"),
-            F.max("weight").alias("_most"),
-        )
-        .join(candidates.withColumnRenamed("weight", "record"), ["tick", "topic"])
-        .select(
-            "tick",
-            "topic",
-            F.date_trunc(slice_by, F.col("tick")).alias("_slice"),
-            F.transform(
-                F.filter(
-                    "_nodes",
-                    lambda n: (n["weight"] >= 0)
-                    & (F.col("_most") - n["weight"] <= threshold),
-                ),
-                lambda n: n["node_id"],
-            ).alias("stay"),
-            F.when(
-                F.exists(
-                    "_nodes",
-                    lambda n: (n["node_id"] == F.col("node_id")) & (n["weight"] >= 0),
-                ),
-                F.col("node_id"),
-            )
-            .otherwise(F.lit(NONE))
-            .alias("follow"),
-            F.coalesce("node_id", F.lit(NONE)).alias("candidate"),
-            "record",
+    # The nodes that may stay if active, and who follows else.
+    ticks = _with_candidates(_ticks(health, slice_by), initial_weight, state).select(
+        "topic",
+        "_slice",
+        "tick",
+        F.transform(
+            F.filter(
+                "_nodes",
+                lambda n: (n["weight"] >= 0) & (F.col("_most") - n["weight"] <= threshold),
+            ),
+            lambda n: n["node_id"],
+        ).alias("stay"),
+        F.when(
+            F.exists(
+                "_nodes",
+                lambda n: (n["node_id"] == F.col("candidate")) & (n["weight"] >= 0),
+            ),
+            F.col("candidate"),
         )
-        .repartition("topic", "_slice")
+        .otherwise(F.lit(NONE))
+        .alias("follow"),
+        "candidate",
+        "record",
     )
-    starts = _slice_starts(ticks, state)
-
-    def replay(slices: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("tick")
-        node = int(part["start"].iloc[0])
-        before, after = [], []
-        for stay, follow in zip(part["stay"], part["follow"]):
-            before.append(node)
-            node = node if node in stay else int(follow)
-            after.append(node)
-        return part.assign(node_id=after, previous_node=before)[
-            ["tick", "topic", "node_id", "previous_node", "candidate", "record"]
-        ]
-
+    slices = ticks.groupBy("topic", "_slice").agg(
+        F.array_sort(
+            F.collect_list(F.struct("tick", "stay", "follow", "candidate", "record"))
+        ).alias("_steps")
+    )
+    trail = F.aggregate(
+        "_steps",
+        F.struct(F.col("_start").alias("node"), F.array().cast("array<int>").alias("nodes")),
+        lambda seen, step: F.struct(
+            _next_node(seen["node"], step).alias("node"),
+            F.concat(seen["nodes"], F.array(_next_node(seen["node"], step))).alias("nodes"),
+        ),
+    )["nodes"]
     replayed = (
-        ticks.join(starts, ["topic", "_slice"])
-        .groupBy("topic", "_slice")
-        .applyInPandas(
-            replay,
-            "tick timestamp, topic string, node_id int, previous_node int,"
-            " candidate int, record bigint",
+        slices.join(_slice_starts(slices, state), ["topic", "_slice"])
+        .withColumn("_after", trail)
+        .withColumn(
+            "_before",
+            F.concat(F.array("_start"), F.slice("_after", 1, F.size("_after") - 1)),
         )
+        .select("topic", F.explode(F.arrays_zip("_steps", "_before", "_after")).alias("_at"))
     )
     return replayed.select(
-        "tick",
+        "_at._steps.tick",
         "topic",
-        *[
-            F.nullif(F.col(name), F.lit(NONE)).alias(name)
-            for name in ("node_id", "previous_node", "candidate")
-        ],
-        "record",
+        _node("_at._after").alias("node_id"),
+        _node("_at._before").alias("previous_node"),
+        "_at._steps.candidate",
+        "_at._steps.record",
     )
 
 
-def _slice_starts(ticks: DataFrame, state: DataFrame | None) -> DataFrame:
+def _next_node(node: Column, step: Column) -> Column:
+    return F.when(F.array_contains(step["stay"], node), node).otherwise(step["follow"])
+
+
+def _node(name: str) -> Column:
+    return F.nullif(F.col(name), F.lit(NONE))
+
+
+def _slice_starts(slices: DataFrame, state: DataFrame | None) -> DataFrame:
     """The active node on entry to every slice.
 
     A slice maps the node active before it to the one active after it. Nodes
     that may not stay at its first tick all end like "no node", so the map has
-    one row for those and one for each node that may.
+    one entry for those and one for each node that may. Per topic the maps, a
+    few numbers per slice, are followed in order.
     """
-
-    def ends(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("tick")
-        steps = [(set(s), int(f)) for s, f in zip(part["stay"], part["follow"])]
-        enter = [-1, *sorted(int(n) for n in steps[0][0])]
-        leave = list(enter)
-        for stay, follow in steps:
-            leave = [node if node in stay else follow for node in leave]
-        return pd.DataFrame(
-            {"topic": key[0], "_slice": key[1], "enter": enter, "leave": leave}
-        )
-
-    def chain(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        node = int(part["initial"].iloc[0])
-        rows = []
-        for when, maps in part.groupby("_slice", sort=True):
-            rows.append((key[0], when, node))
-            leave = dict(zip(maps["enter"], maps["leave"]))
-            node = int(leave.get(node, leave[-1]))
-        return pd.DataFrame(rows, columns=["topic", "_slice", "start"])
-
-    mapped = (
-        ticks.select("topic", "_slice", "tick", "stay", "follow")
-        .groupBy("topic", "_slice")
-        .applyInPandas(ends, "topic string, _slice timestamp, enter int, leave int")
+    enter = F.concat(F.array(F.lit(NONE)), F.col("_steps")[0]["stay"])
+    leave = F.transform(enter, lambda node: F.aggregate("_steps", node, _next_node))
+    maps = slices.select("topic", "_slice", F.map_from_arrays(enter, leave).alias("_leave"))
+    topics = maps.groupBy("topic").agg(
+        F.array_sort(
+            F.collect_list(F.struct("_slice", F.map_entries("_leave").alias("_leave")))
+        ).alias("_maps")
     )
     if state is None:
-        mapped = mapped.withColumn("initial", F.lit(NONE))
+        topics = topics.withColumn("_initial", F.lit(NONE))
     else:
-        known = state.select("topic", F.col("active").alias("initial"))
-        mapped = mapped.join(known, "topic", "left").withColumn(
-            "initial", F.coalesce("initial", F.lit(NONE))
+        known = state.select("topic", F.col("active").alias("_initial"))
+        topics = topics.join(known, "topic", "left").withColumn(
+            "_initial", F.coalesce("_initial", F.lit(NONE))
         )
-    # One row per slice and node that may stay: small for any topic.
-    return mapped.groupBy("topic").applyInPandas(
-        chain, "topic string, _slice timestamp, start int"
-    )
+
+    def leaving(node: Column, one: Column) -> Column:
+        found = F.filter(one["_leave"], lambda entry: entry["key"] == node)
+        return F.coalesce(F.try_element_at(found, F.lit(1))["value"], one["_leave"][0]["value"])
+
+    entered = F.aggregate(
+        "_maps",
+        F.struct(F.col("_initial").alias("node"), F.array().cast("array<int>").alias("nodes")),
+        lambda seen, one: F.struct(
+            leaving(seen["node"], one).alias("node"),
+            F.concat(seen["nodes"], F.array(seen["node"])).alias("nodes"),
+        ),
+    )["nodes"]
+    return topics.select(
+        "topic", F.explode(F.arrays_zip("_maps", entered.alias("_start"))).alias("_at")
+    ).select("topic", "_at._maps._slice", "_at._start")
 
 
 def lag_breaches(weights: DataFrame, active: DataFrame, threshold: int) -> DataFrame:

@@ -9,9 +9,13 @@ that no task receives a whole topic-partition.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # About the number of partitions of a very large cluster; such a table stays
 # within some ten megabytes.
@@ -27,6 +31,15 @@ def bounded_rows(table: DataFrame, limit: int) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
+def local_table(
+    spark: SparkSession, rows: Sequence[Sequence[Any]], schema: T.StructType
+) -> DataFrame:
+    """A few rows as a DataFrame the optimizer sees the content and size of."""
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], kind.type) for i, kind in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)
+
+
 def fits(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``table`` has at most ``limit`` rows; counts no further."""
     return table.limit(limit + 1).count() <= limit

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows
+from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table
 from .offsets import offset_bitmap, stretch_of
 
 COORDINATES = ["topic", "partition", "offset"]
@@ -53,7 +53,7 @@ def merge_mirrors(
 
     width = STRETCH * block_stretches
     block = F.floor(F.col("offset") / width)
-    table = mirrors.sparkSession.createDataFrame(rows, owners.schema)
+    table = local_table(mirrors.sparkSession, rows, owners.schema)
     placed = ranked.withColumn("_block", block)
 
     contested = [row for row in rows if row._owner is None]

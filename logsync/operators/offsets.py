@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, lookup_join
+from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table, lookup_join
 
 PARTITION_KEYS = ["topic", "partition"]
 
@@ -55,7 +55,7 @@ def after_offsets(
     if rows is not None and len(rows) <= literal_rows:
         return log.where(_from_literals(rows, missing))
     if rows is not None:
-        table = log.sparkSession.createDataFrame(rows, table.schema)
+        table = local_table(log.sparkSession, rows, table.schema)
         if missing == "skip":
             log = log.where(F.col("offset") >= min(row.next_offset for row in rows))
     how = "left" if missing == "start" else "inner"
@@ -82,7 +82,7 @@ def until_offsets(
         kept = [_is_partition(row) & (F.col("offset") < row.next_offset) for row in rows]
         return log.where(_any(kept))
     if rows is not None:
-        table = log.sparkSession.createDataFrame(rows, table.schema)
+        table = local_table(log.sparkSession, rows, table.schema)
         log = log.where(F.col("offset") < max(row.next_offset for row in rows))
     return (
         lookup_join(log, table, PARTITION_KEYS, limit=broadcast_rows)

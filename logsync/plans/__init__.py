@@ -1,6 +1,6 @@
 """Whole replication plans put together from the operators."""
 
 from .failover import relay_with_failover
-from .replicate import outstanding_messages, relay_bounded
+from .replicate import captured, outstanding_messages, relay_bounded
 
-__all__ = ["outstanding_messages", "relay_bounded", "relay_with_failover"]
+__all__ = ["captured", "outstanding_messages", "relay_bounded", "relay_with_failover"]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators.filters import Filter
 from ..operators.health import active_history
-from ..operators.lookup import BROADCAST_ROWS, bounded_rows
+from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
 from ..schemas import HEALTH_SCHEMA
 from ..sinks.targets import Target
 from ..sources.read import LogSource, end_offsets
@@ -50,7 +50,7 @@ def poll_sources(
             rows += [(tick, t, node, None, 0, True) for t in topics if t not in seen]
         except PySparkException:
             rows += [(tick, topic, node, None, None, False) for topic in topics]
-    return spark.createDataFrame(rows, HEALTH_SCHEMA)
+    return local_table(spark, rows, HEALTH_SCHEMA)
 
 
 def relay_with_failover(
@@ -84,7 +84,7 @@ def relay_with_failover(
     for number in range(rounds):
         if number and interval:
             time.sleep(interval)
-        tick = datetime.now(timezone.utc).replace(tzinfo=None)
+        tick = datetime.now(timezone.utc)
         health = poll(number) if poll else poll_sources(spark, sources, topics, tick)
         if documented_rule:
             # Forget the remembered weight: any healthy node may take over.
@@ -96,7 +96,7 @@ def relay_with_failover(
             .select("topic", "now.candidate", "now.record", F.col("now.node_id").alias("active"))
             .collect()
         )
-        state = spark.createDataFrame(rows, STATE_SCHEMA)
+        state = local_table(spark, rows, STATE_SCHEMA)
         active = {row.topic: row.active for row in rows}
         history.append(active)
         idle = 0 if any(node is not None for node in active.values()) else idle + 1
@@ -137,4 +137,4 @@ def _initial_state(spark: SparkSession, topics: Sequence[str], done: DataFrame)
     )
     held = {row.topic: row["sum"] for row in sums.collect()}
     rows = [(topic, None, held.get(topic, 0), None) for topic in topics]
-    return spark.createDataFrame(rows, STATE_SCHEMA)
+    return local_table(spark, rows, STATE_SCHEMA)

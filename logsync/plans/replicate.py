@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import Filter, filter_messages
-from ..operators.lookup import BROADCAST_ROWS, bounded_rows
+from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
 from ..operators.offsets import after_offsets
 from ..operators.routing import to_message
 from ..schemas import OFFSETS_SCHEMA
@@ -47,7 +47,7 @@ def captured(spark: SparkSession, offsets: DataFrame) -> DataFrame:
     rows = bounded_rows(offsets.select(*OFFSETS_SCHEMA.fieldNames()), BROADCAST_ROWS)
     if rows is None:
         raise ValueError("more offsets than a cluster has partitions")
-    return spark.createDataFrame(rows, OFFSETS_SCHEMA)
+    return local_table(spark, rows, OFFSETS_SCHEMA)
 
 
 def relay_bounded(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -17,9 +18,12 @@ def local_session(cores: str | int = "*", app: str = "logsync", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # Spares a call-site lookup per column expression while building plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
     )
     for name, value in conf.items():
@@ -40,9 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="logsync-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="logsync-")
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

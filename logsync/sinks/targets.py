@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.headers import append_headers, single_header
-from ..operators.lookup import LITERAL_ROWS, bounded_rows, lookup_join
+from ..operators.lookup import LITERAL_ROWS, bounded_rows, local_table, lookup_join
 from ..operators.numbering import SLICE_WIDTH, assign_target_offsets
 from ..schemas import OFFSETS_SCHEMA, SOURCE_COORDINATES, TARGET_LOG_COLUMNS, TARGET_LOG_SCHEMA
 from .order import order_for_write
@@ -183,7 +183,7 @@ class KafkaTarget:
 
     def high_watermarks(self, spark: SparkSession) -> DataFrame:
         """Empty: a stream's checkpoint, or source_coordinates, tells progress."""
-        return spark.createDataFrame([], OFFSETS_SCHEMA)
+        return local_table(spark, [], OFFSETS_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -203,7 +203,7 @@ class RowTarget:
 
     def high_watermarks(self, spark: SparkSession) -> DataFrame:
         if self.watermarks is None:
-            return spark.createDataFrame([], OFFSETS_SCHEMA)
+            return local_table(spark, [], OFFSETS_SCHEMA)
         return self.watermarks(spark)
 
 
@@ -257,4 +257,4 @@ def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> Data
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return local_table(spark, [], schema)

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from ..operators.lookup import BROADCAST_ROWS, bounded_rows
+from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
 from ..schemas import LOG_COLUMNS, OFFSETS_SCHEMA
 
 # Fixed value: the connector's mark for "from the earliest offset".
@@ -39,7 +39,7 @@ def offsets_from_json(spark: SparkSession, text: str) -> DataFrame:
         for topic, partitions in json.loads(text).items()
         for partition, offset in partitions.items()
     ]
-    return spark.createDataFrame(rows, OFFSETS_SCHEMA)
+    return local_table(spark, rows, OFFSETS_SCHEMA)
 
 
 @dataclass(frozen=True)

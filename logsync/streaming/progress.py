@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from ..operators.lookup import local_table
 from ..schemas import PROGRESS_SCHEMA
 
 OBSERVATION = "relay"
@@ -49,7 +50,7 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
     """The reports a query still keeps, one row per batch."""
     reports: Iterable[Mapping[str, Any]] = [json.loads(p.json) for p in query.recentProgress]
     spark = SparkSession.active()
-    return spark.createDataFrame([progress_row(r) for r in reports], PROGRESS_SCHEMA)
+    return local_table(spark, [progress_row(r) for r in reports], PROGRESS_SCHEMA)
 
 
 class ProgressListener(StreamingQueryListener):
@@ -65,7 +66,7 @@ class ProgressListener(StreamingQueryListener):
         report = json.loads(event.progress.json)
         if self.name is not None and report.get("name") != self.name:
             return
-        row = self.spark.createDataFrame([progress_row(report)], PROGRESS_SCHEMA)
+        row = local_table(self.spark, [progress_row(report)], PROGRESS_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryIdle(self, event) -> None:

@@ -41,7 +41,7 @@ from logsync.operators import (
     until_offsets,
     validate_routes,
 )
-from logsync.plans import outstanding_messages, relay_with_failover
+from logsync.plans import captured, outstanding_messages, relay_with_failover
 from logsync.session import run_folder
 from logsync.sinks import TableTarget, write_batch_idempotent, write_log
 from logsync.sources import TableLog, end_offsets, read_log_stream, read_mirrors
@@ -116,7 +116,7 @@ def failover_round(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("source_offset").alias("offset"),
         )
     )
-    before = spark.createDataFrame(before.collect(), before.schema)
+    before = captured(spark, before)
     history = relay_with_failover(spark, sources, routes, target, rounds=1)
     copied = target.read(spark).select(
         F.col("source_topic").alias("topic"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logsync.functions import header_text
 from logsync.functions.headers import single_header
-from logsync.operators import number_rows, stamp_source_time
+from logsync.operators import local_table, number_rows, stamp_source_time
 from logsync.schemas import LOG_COLUMNS, ROUTE_SCHEMA, TARGET_LOG_COLUMNS
 
 TOPIC = "events"
@@ -118,12 +118,13 @@ def bad_target_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copy_routes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(TOPIC, COPY, None)], ROUTE_SCHEMA)
+    return local_table(spark, [(TOPIC, COPY, None)], ROUTE_SCHEMA)
 
 
 def typed_routes(spark: SparkSession) -> DataFrame:
     """Routes of the typed log; ``error`` has none."""
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         [
             ("click", "web", None),
             ("view", "web", None),
