@@ -17,6 +17,7 @@ from .mirrors import merge_mirrors, tag_mirrors
 from .numbering import assign_target_offsets, number_rows
 from .offsets import (
     after_offsets,
+    between_offsets,
     gap_report,
     high_watermarks,
     reached_end,
@@ -39,6 +40,7 @@ __all__ = [
     "assign_target_offsets",
     "attribute_filters",
     "best_per_tick",
+    "between_offsets",
     "bounded_rows",
     "candidate_history",
     "elect_source",

@@ -91,6 +91,49 @@ def until_offsets(
     )
 
 
+def between_offsets(
+    log: DataFrame,
+    start: DataFrame,
+    ends: DataFrame,
+    missing: str = "start",
+    literal_rows: int = LITERAL_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``after_offsets`` and ``until_offsets`` as one range per partition.
+
+    The partitions are those with an end, so nothing is open-ended and the scan
+    of a log laid out by partition gets offset bounds too.
+    """
+    if missing not in ("start", "skip"):
+        raise ValueError(f"missing must be start or skip, not {missing!r}")
+    ranges = ends.select(*PARTITION_KEYS, F.col("next_offset").alias("_end")).join(
+        start.select(*PARTITION_KEYS, F.col("next_offset").alias("_start")),
+        PARTITION_KEYS,
+        "left" if missing == "start" else "inner",
+    )
+    ranges = ranges.withColumn("_start", F.coalesce("_start", F.lit(0))).where(
+        F.col("_start") < F.col("_end")
+    )
+    rows = bounded_rows(ranges, broadcast_rows)
+    if rows is not None and len(rows) <= literal_rows:
+        kept = [
+            _is_partition(row) & (F.col("offset") >= row._start) & (F.col("offset") < row._end)
+            for row in rows
+        ]
+        return log.where(_any(kept))
+    if rows is not None:
+        ranges = local_table(log.sparkSession, rows, ranges.schema)
+        log = log.where(
+            (F.col("offset") >= min(row._start for row in rows))
+            & (F.col("offset") < max(row._end for row in rows))
+        )
+    return (
+        lookup_join(log, ranges, PARTITION_KEYS, limit=broadcast_rows)
+        .where((F.col("offset") >= F.col("_start")) & (F.col("offset") < F.col("_end")))
+        .select(*log.columns)
+    )
+
+
 def _is_partition(row: Row) -> Column:
     return (F.col("topic") == row.topic) & (F.col("partition") == row.partition)
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.offsets import after_offsets, until_offsets
+from ..operators.offsets import after_offsets, between_offsets, until_offsets
 from ..schemas import LOG_COLUMNS, LOG_SCHEMA
 from ..sinks.order import order_for_write
 
@@ -32,8 +32,10 @@ class TableLog:
         missing: str = "start",
     ) -> DataFrame:
         log = _of_topics(spark.read.schema(LOG_SCHEMA).parquet(self.path), topics)
+        if start is not None and end is not None:
+            return between_offsets(log, start, end, missing)
         if start is not None:
-            log = after_offsets(log, start, missing)
+            return after_offsets(log, start, missing)
         if end is not None:
             log = until_offsets(log, end)
         return log

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from logsync.operators import (
     after_offsets,
     assign_target_offsets,
+    between_offsets,
     gap_report,
     high_watermarks,
     lookup_join,
@@ -80,6 +81,17 @@ def test_after_and_until_split_the_log(make_log, make_offsets):
     assert pairs(both, "partition", "offset") == pairs(log, "partition", "offset")
 
 
+def test_between_offsets_equals_both_bounds(make_log, make_offsets):
+    log = numbered(make_log, p0=6, p1=5, p2=3)
+    start = make_offsets(("t", 0, 4), ("t", 1, 5), ("t", 9, 1))
+    ends = make_offsets(("t", 0, 6), ("t", 1, 3), ("t", 2, 2))
+    for missing in ("start", "skip"):
+        both = until_offsets(after_offsets(log, start, missing), ends)
+        for form in FORMS:
+            kept = between_offsets(log, start, ends, missing, **form)
+            assert pairs(kept, "partition", "offset") == pairs(both, "partition", "offset")
+
+
 def test_remaining_and_reached(make_offsets):
     source = make_offsets(("t", 0, 10), ("t", 1, 4))
     target = make_offsets(("t", 0, 7), ("t", 5, 99))

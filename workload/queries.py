@@ -15,6 +15,7 @@ from logsync.operators import (
     after_offsets,
     assign_target_offsets,
     attribute_filters,
+    between_offsets,
     candidate_history,
     elect_source,
     expect_topic,
@@ -38,7 +39,6 @@ from logsync.operators import (
     switch_counts,
     tag_mirrors,
     to_message,
-    until_offsets,
     validate_routes,
 )
 from logsync.plans import captured, outstanding_messages, relay_with_failover
@@ -94,7 +94,7 @@ def relay_until_end_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = views.event_log(spark, sf_dir)
     start = source_progress(views.target_log(spark, sf_dir))
     ends = high_watermarks(views.log_share(spark, sf_dir, views.NODE_SHARES[0]))
-    bounded = until_offsets(after_offsets(log, start), ends)
+    bounded = between_offsets(log, start, ends)
     return bounded.select(
         F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset")
     )
