@@ -42,7 +42,9 @@ def local_table(
 
 def fits(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether ``table`` has at most ``limit`` rows; counts no further."""
-    return table.limit(limit + 1).count() <= limit
+    first = table.limit(limit + 1)
+    # Rows already on the driver need no job to be counted.
+    return (len(first.collect()) if table.isLocal() else first.count()) <= limit
 
 
 def lookup_join(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table
+from .numbering import slice_of
 from .offsets import offset_bitmap, stretch_of
 
 COORDINATES = ["topic", "partition", "offset"]
@@ -52,9 +53,8 @@ def merge_mirrors(
         return _best_copy(ranked).select(*mirrors.columns)
 
     width = STRETCH * block_stretches
-    block = F.floor(F.col("offset") / width)
     table = local_table(mirrors.sparkSession, rows, owners.schema)
-    placed = ranked.withColumn("_block", block)
+    placed = ranked.withColumn("_block", slice_of("offset", width))
 
     contested = [row for row in rows if row._owner is None]
     if len(contested) == len(rows):
@@ -99,7 +99,7 @@ def _block_owners(ranked: DataFrame, block_stretches: int) -> DataFrame:
     blocks = stretches.groupBy(
         "topic",
         "partition",
-        F.floor((F.col("_stretch") - 1) / block_stretches).alias("_block"),
+        F.expr(f"(_stretch - 1) div {block_stretches}").alias("_block"),
     ).agg(
         F.bool_and(served).alias("_served"),
         F.min("_best._rank").alias("_first"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -21,6 +21,12 @@ from .lookup import lookup_join
 SLICE_WIDTH = 1 << 20
 
 
+def slice_of(column: str, width: int = SLICE_WIDTH) -> Column:
+    """Number of the slice of ``width`` values that ``column`` falls into."""
+    # Integer division: offsets may exceed what a double holds exactly.
+    return F.expr(f"`{column}` div {width}")
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -36,7 +42,7 @@ def number_rows(
     """
     keys, then = list(keys), list(then)
     slice_keys = [*keys, *then, "_slice"]
-    rows = df.withColumn("_slice", F.floor(F.col(order) / F.lit(width)))
+    rows = df.withColumn("_slice", slice_of(order, width))
     sizes = rows.groupBy(*slice_keys).agg(F.count(F.lit(1)).alias("_size"))
     earlier = (
         W.partitionBy(*keys)
@@ -47,11 +53,12 @@ def number_rows(
         *slice_keys,
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
     )
-    # The window and the join share one hash partitioning of the rows.
+    # The window and the join share one hash partitioning of the rows. Every row
+    # finds its start; a left join keeps the optimizer from moving the rows.
     inside = W.partitionBy(*slice_keys).orderBy(order)
     return (
         rows.withColumn("_number", F.row_number().over(inside))
-        .join(starts, slice_keys)
+        .join(starts, slice_keys, "left")
         .withColumn(name, F.col("_start") + F.col("_number") - F.lit(1))
         .drop("_slice", "_number", "_start")
     )

@@ -33,6 +33,26 @@ def local_session(cores: str | int = "*", app: str = "logsync", **conf: str) ->
     return spark
 
 
+def sized_settings(
+    input_bytes: int, cores: int, partition_bytes: int = 128 << 20
+) -> dict[str, str]:
+    """Settings that keep partitions near ``partition_bytes`` for an input.
+
+    Shuffles start with enough partitions for the whole input and at least
+    three per core; adaptive execution puts small ones together and splits the
+    skewed ones of joins.
+    """
+    partitions = max(3 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

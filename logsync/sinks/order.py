@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..operators.numbering import SLICE_WIDTH
+from ..operators.numbering import SLICE_WIDTH, slice_of
 
 
 def order_for_write(
@@ -29,5 +28,5 @@ def order_for_write(
     if single_writer:
         spread = messages.repartition(*keys)
     else:
-        spread = messages.repartition(*keys, *before, F.floor(F.col(offset) / width))
+        spread = messages.repartition(*keys, *before, slice_of(offset, width))
     return spread.sortWithinPartitions(*keys, *order)

@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 from ..functions.headers import append_headers, single_header
 from ..operators.lookup import LITERAL_ROWS, bounded_rows, local_table, lookup_join
 from ..operators.numbering import SLICE_WIDTH, assign_target_offsets
-from ..schemas import OFFSETS_SCHEMA, SOURCE_COORDINATES, TARGET_LOG_COLUMNS, TARGET_LOG_SCHEMA
+from ..schemas import (
+    MESSAGE_COLUMNS,
+    MESSAGE_SCHEMA,
+    OFFSETS_SCHEMA,
+    SOURCE_COORDINATES,
+    TARGET_LOG_COLUMNS,
+    TARGET_LOG_SCHEMA,
+)
 from .order import order_for_write
 
 # Headers that carry source coordinates where a target has no
@@ -60,12 +67,17 @@ class TableTarget:
     (one per batch and partition pair) also spare a scan of the log to find its
     end offsets. ``writer`` names the job, as batch ids are only unique within
     one. One job writes at a time.
+
+    Numbering goes over a batch twice, which asks for filters that answer the
+    same each time. ``stage`` writes the messages down first, for filters that
+    are costly or may change their mind.
     """
 
     path: str
     writer: str = "main"
     compression: str = "zstd"
     slice_width: int = SLICE_WIDTH
+    stage: bool = False
 
     def _label(self, batch_id: int) -> str:
         return f"{self.writer}-{batch_id:012d}"
@@ -77,17 +89,20 @@ class TableTarget:
         spark, label = messages.sparkSession, self._label(batch_id)
         if not self.progress(spark).where(F.col("batch") == label).isEmpty():
             return
+        if self.stage:
+            staged = f"{self.path}/staged/batch={label}"
+            messages.select(*MESSAGE_COLUMNS).write.mode("overwrite").parquet(staged)
+            messages = spark.read.schema(MESSAGE_SCHEMA).parquet(staged)
         numbered = assign_target_offsets(
             messages, self.end_offsets(spark), width=self.slice_width
         )
         folder = f"{self.path}/log/batch={label}"
+        # Numbering has brought whole slices together, so sorting needs no
+        # further shuffle for files to cover narrow offset ranges.
         (
-            order_for_write(
-                numbered.withColumn("timestamp", F.current_timestamp()).select(
-                    *TARGET_LOG_COLUMNS
-                ),
-                width=self.slice_width,
-            )
+            numbered.withColumn("timestamp", F.current_timestamp())
+            .select(*TARGET_LOG_COLUMNS)
+            .sortWithinPartitions("topic", "partition", "offset")
             .write.mode("overwrite")
             .option("compression", self.compression)
             .partitionBy("topic", "partition")

@@ -57,6 +57,6 @@ def end_offsets(
     if isinstance(source, TableLog):
         if topics is None:
             raise ValueError("name the topics to look up")
-        return high_watermarks(source.scan(spark, topics))
+        return source.end_offsets(spark, topics)
     log = source if topics is None else source.where(F.col("topic").isin(list(topics)))
     return high_watermarks(log)

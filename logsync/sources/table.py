@@ -8,8 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.offsets import after_offsets, between_offsets, until_offsets
-from ..schemas import LOG_COLUMNS, LOG_SCHEMA
+from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
+from ..operators.offsets import (
+    after_offsets,
+    between_offsets,
+    high_watermarks,
+    until_offsets,
+)
+from ..schemas import LOG_COLUMNS, LOG_SCHEMA, OFFSETS_SCHEMA
 from ..sinks.order import order_for_write
 
 
@@ -54,6 +60,18 @@ class TableLog:
         log = _of_topics(reader.parquet(self.path), topics)
         return log if start is None else after_offsets(log, start)
 
+    def end_offsets(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
+        """End offsets as they are now, from file footers: no column is read."""
+        footers = spark.newSession()
+        # Aggregates reach Parquet footers through the newer file source only.
+        footers.conf.set("spark.sql.sources.useV1SourceList", "")
+        footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        ends = high_watermarks(self.scan(footers, topics))
+        rows = bounded_rows(ends, BROADCAST_ROWS)
+        if rows is None:
+            return high_watermarks(self.scan(spark, topics))
+        return local_table(spark, rows, OFFSETS_SCHEMA)
+
     def append(self, log: DataFrame, compression: str = "zstd") -> None:
         """Add records, whose offsets are already assigned."""
         (

@@ -93,6 +93,36 @@ def test_a_batch_that_failed_half_way_is_replaced(spark, messages, tmp_path):
     assert pairs(target.read(spark), "offset", "source_offset") == [(0, 0), (1, 1), (2, 2), (3, 3)]
 
 
+def test_staged_batches(spark, messages, tmp_path):
+    target = TableTarget(f"{tmp_path}/t", stage=True)
+    # A filter that answers at random would upset numbering otherwise.
+    write_log(messages(*range(200)).where(F.rand() < 0.5), target)
+    offsets = [offset for (offset,) in pairs(target.read(spark), "offset")]
+    assert 0 < len(offsets) < 200 and offsets == list(range(len(offsets)))
+
+
+def test_end_offsets_come_from_footers(spark, make_log, tmp_path):
+    source = TableLog(f"{tmp_path}/log")
+    source.append(make_log(*[("a", p, o, b"k", b"v") for p in (0, 1) for o in range(5 + p)]))
+    source.append(make_log(("a", 0, 9, b"k", b"v"), ("b", 0, 0, b"k", b"v")))
+    ends = source.end_offsets(spark, ["a"])
+    assert pairs(ends, "partition", "next_offset") == [(0, 10), (1, 6)]
+
+
+def test_files_cover_narrow_ranges(spark, messages, tmp_path):
+    target = TableTarget(f"{tmp_path}/t", slice_width=16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_log(messages(*range(199, -1, -1)), target)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = [
+        [r.offset for r in spark.read.parquet(name).select("offset").collect()]
+        for name in target.read(spark).inputFiles()
+    ]
+    assert len(files) > 1 and all(offsets == sorted(offsets) for offsets in files)
+
+
 def test_writers_do_not_share_batch_ids(spark, messages, tmp_path):
     one, two = (TableTarget(f"{tmp_path}/t", writer=w) for w in ("one", "two"))
     one.write_batch(messages(0), 0)

@@ -152,7 +152,7 @@ def health(spark: SparkSession, sf_dir: str) -> DataFrame:
     epoch = F.unix_micros(F.to_timestamp(F.lit(FIRST_TICK)))
     first = (epoch / GRID_US).cast("bigint") - 48 // 3
     last = (F.unix_micros(F.to_timestamp(F.lit(LAST_TICK))) / GRID_US).cast("bigint")
-    slot = F.greatest(F.ceil(F.unix_micros("timestamp") / GRID_US), first)
+    slot = F.greatest(F.expr(f"(unix_micros(timestamp) + {GRID_US - 1}) div {GRID_US}"), first)
     counts = records.groupBy("partition", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     grid = records.select("partition").distinct().withColumn(
         "slot", F.explode(F.sequence(first, last))
