@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table
 from .numbering import slice_of
@@ -14,7 +15,15 @@ from .offsets import offset_bitmap, stretch_of
 
 COORDINATES = ["topic", "partition", "offset"]
 STRETCH = 32_768
-BLOCK_STRETCHES = 1_024
+BLOCK_STRETCHES = (1, 1_024)
+BLOCK_SCHEMA = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("_block", T.LongType()),
+        T.StructField("_owner", T.LongType()),
+    ]
+)
 
 
 def tag_mirrors(logs: Sequence[DataFrame]) -> DataFrame:
@@ -34,7 +43,7 @@ def _rank(prefer: Sequence[int]) -> Column:
 def merge_mirrors(
     mirrors: DataFrame,
     prefer: int | Sequence[int] | None = None,
-    block_stretches: int = BLOCK_STRETCHES,
+    block_stretches: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One copy of every (topic, partition, offset): the best ranked node's.
@@ -47,40 +56,58 @@ def merge_mirrors(
     """
     order = [] if prefer is None else [prefer] if isinstance(prefer, int) else list(prefer)
     ranked = mirrors.withColumn("_rank", _rank(order))
-    owners = _block_owners(ranked, block_stretches)
-    rows = bounded_rows(owners, broadcast_rows)
-    if rows is None:
+    # Coarse blocks where fine ones are too many to broadcast.
+    sizes = BLOCK_STRETCHES if block_stretches is None else (block_stretches,)
+    for stretches in sizes:
+        blocks = bounded_rows(_block_owners(ranked, stretches), broadcast_rows)
+        if blocks is not None:
+            break
+    if not blocks:
         return _best_copy(ranked).select(*mirrors.columns)
 
-    width = STRETCH * block_stretches
-    table = local_table(mirrors.sparkSession, rows, owners.schema)
-    placed = ranked.withColumn("_block", slice_of("offset", width))
+    width = STRETCH * stretches
+    owned = [block for block in blocks if block._owner is not None]
+    contested = [block for block in blocks if block._owner is None]
+    parts = []
+    if owned:
+        parts.append(_of_blocks(ranked, owned, width))
+    if contested:
+        parts.append(_best_copy(_of_blocks(ranked, contested, width)))
+    return reduce(
+        lambda a, b: a.unionByName(b), [part.select(*mirrors.columns) for part in parts]
+    )
 
-    contested = [row for row in rows if row._owner is None]
-    if len(contested) == len(rows):
-        return _best_copy(ranked).select(*mirrors.columns)
-    owned = placed.join(
-        F.broadcast(table.where(F.col("_owner").isNotNull())), ["topic", "partition", "_block"]
-    ).where(F.col("_rank") == F.col("_owner"))
-    if not contested:
-        return owned.select(*mirrors.columns)
-    if len(contested) <= LITERAL_ROWS:
-        # Literal ranges let the second scan skip all other row groups.
-        ranges = [
-            (F.col("topic") == row.topic)
-            & (F.col("partition") == row.partition)
-            & F.col("offset").between(row._block * width, (row._block + 1) * width - 1)
-            for row in contested
-        ]
-        disputed = ranked.where(reduce(lambda a, b: a | b, ranges))
-    else:
-        disputed = placed.join(
-            F.broadcast(table.where(F.col("_owner").isNull())),
-            ["topic", "partition", "_block"],
-            "left_semi",
-        )
-    merged = _best_copy(disputed.select(*mirrors.columns, "_rank"))
-    return owned.select(*mirrors.columns).unionByName(merged.select(*mirrors.columns))
+
+def _of_blocks(ranked: DataFrame, blocks: Sequence[Row], width: int) -> DataFrame:
+    """Rows of the blocks, from their owners where they have one.
+
+    Neighbouring blocks of one owner form ranges. A few of those are literals,
+    which skip row groups of each node's log, and whole logs of other nodes.
+    """
+    ranges: list[list] = []
+    for block in sorted(blocks, key=lambda b: (b.topic, b.partition, b._block)):
+        key = (block.topic, block.partition, block._owner)
+        if ranges and ranges[-1][0] == key and ranges[-1][2] == block._block - 1:
+            ranges[-1][2] = block._block
+        else:
+            ranges.append([key, block._block, block._block])
+    if len(ranges) <= LITERAL_ROWS:
+        conditions = []
+        for (topic, partition, owner), first, last in ranges:
+            inside = (
+                (F.col("topic") == topic)
+                & (F.col("partition") == partition)
+                & F.col("offset").between(first * width, (last + 1) * width - 1)
+            )
+            conditions.append(inside if owner is None else inside & (F.col("_rank") == owner))
+        return ranked.where(reduce(lambda a, b: a | b, conditions))
+    table = local_table(ranked.sparkSession, blocks, BLOCK_SCHEMA)
+    return (
+        ranked.withColumn("_block", slice_of("offset", width))
+        .join(F.broadcast(table), ["topic", "partition", "_block"])
+        .where(F.col("_owner").isNull() | (F.col("_rank") == F.col("_owner")))
+        .drop("_block", "_owner")
+    )
 
 
 def _block_owners(ranked: DataFrame, block_stretches: int) -> DataFrame:

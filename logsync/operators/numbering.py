@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .lookup import lookup_join
 
-SLICE_WIDTH = 1 << 20
+SLICE_WIDTH = 1 << 16
 
 
 def slice_of(column: str, width: int = SLICE_WIDTH) -> Column:

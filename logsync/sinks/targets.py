@@ -83,7 +83,7 @@ class TableTarget:
         return f"{self.writer}-{batch_id:012d}"
 
     def progress(self, spark: SparkSession) -> DataFrame:
-        return _read_or_empty(spark, f"{self.path}/progress", TABLE_PROGRESS_SCHEMA)
+        return read_or_empty(spark, f"{self.path}/progress", TABLE_PROGRESS_SCHEMA)
 
     def write_batch(self, messages: DataFrame, batch_id: int) -> None:
         spark, label = messages.sparkSession, self._label(batch_id)
@@ -125,7 +125,7 @@ class TableTarget:
     def read(self, spark: SparkSession) -> DataFrame:
         """Records of all batches that counted."""
         schema = T.StructType([*TARGET_LOG_SCHEMA.fields, T.StructField("batch", T.StringType())])
-        log = _read_or_empty(spark, f"{self.path}/log", schema)
+        log = read_or_empty(spark, f"{self.path}/log", schema)
         batches = self.progress(spark).select("batch").distinct()
         rows = bounded_rows(batches, LITERAL_ROWS)
         if rows is not None:
@@ -266,7 +266,8 @@ def missing_from(messages: DataFrame, target_log: DataFrame) -> DataFrame:
     return messages.join(known, SOURCE_COORDINATES, "left_anti").select(*messages.columns)
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``, without rows while nothing is there."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:

@@ -1,5 +1,6 @@
 """Continuous replication with Structured Streaming."""
 
+from .health import ActiveHistory, active_history_stream
 from .mirrors import dedupe_mirrors, merge_mirrors_stream
 from .progress import (
     ProgressListener,
@@ -10,7 +11,9 @@ from .progress import (
 from .relay import relay_stream, relay_until_end
 
 __all__ = [
+    "ActiveHistory",
     "ProgressListener",
+    "active_history_stream",
     "dedupe_mirrors",
     "merge_mirrors_stream",
     "observe_relay",

@@ -16,6 +16,7 @@ from logsync.operators import (
 )
 from logsync.plans.failover import STATE_SCHEMA
 from logsync.schemas import HEALTH_SCHEMA
+from logsync.streaming import ActiveHistory
 
 
 def by_tick(df, column):
@@ -114,6 +115,19 @@ def test_history_continues_from_a_state(spark, make_health):
     assert by_tick(first, "node_id") + by_tick(rest, "node_id") == by_tick(whole, "node_id")
 
 
+def test_history_in_batches(spark, make_health, tmp_path):
+    ticks = [[5, 3], [None, 9], [20, 9], [20, None], [20, 31], [None, None]]
+    health = make_health(*ticks)
+    history = ActiveHistory(str(tmp_path), threshold=5)
+    ids = [r.tick for r in health.select("tick").distinct().orderBy("tick").collect()]
+    # The middle batch runs twice, as after a failure.
+    for batch, (first, last) in ((0, (0, 2)), (1, (2, 4)), (1, (2, 4)), (2, (4, 6))):
+        history.add(health.where(F.col("tick").isin(ids[first:last])), batch)
+    whole = active_history(health, 5)
+    for column in ("node_id", "previous_node", "candidate", "record"):
+        assert by_tick(history.read(spark), column) == by_tick(whole, column)
+
+
 def test_topics_are_kept_apart(make_health):
     health = make_health([5, 3]).unionByName(make_health([1, 3], topic="u"))
     assert pairs(active_history(health, 5), "topic", "node_id") == [("t", 0), ("u", 1)]

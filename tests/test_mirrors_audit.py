@@ -41,7 +41,7 @@ def test_merge_equals_brute_force(make_log, prefer, seed):
     ranks = {n: (order.index(n) if n in order else 10 + n) for n in range(3)}
     expected = brute_merge(nodes, ranks)
     mirrors = tag_mirrors(logs)
-    for options in ({}, {"block_stretches": 1}, {"broadcast_rows": 0}):
+    for options in ({}, {"block_stretches": 4}, {"broadcast_rows": 5}, {"broadcast_rows": 0}):
         merged = merge_mirrors(mirrors, prefer, **options)
         assert merged.columns == mirrors.columns
         assert pairs(merged, "partition", "offset", "node_id") == expected
@@ -58,6 +58,31 @@ def test_a_whole_node_is_not_shuffled(make_log):
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_many_blocks_are_looked_up(make_log, monkeypatch):
+    from logsync.operators import mirrors as module
+
+    monkeypatch.setattr(module, "LITERAL_ROWS", 0)
+    offsets = [0, 1, 32_768, 65_536, 98_304, 98_305]
+    logs = [mirror(make_log, 0, *[(0, o) for o in offsets[:3]]), mirror(make_log, 1, *[(0, o) for o in offsets])]
+    logs[0] = logs[0].unionByName(mirror(make_log, 0, (0, 98_304)))
+    merged = merge_mirrors(tag_mirrors(logs))
+    assert pairs(merged, "offset", "node_id") == [
+        (0, 0), (1, 0), (32_768, 0), (65_536, 1), (98_304, 0), (98_305, 1),
+    ]
+
+
+def test_logs_of_other_nodes_are_not_scanned(spark, make_log, tmp_path):
+    from logsync.sources import TableLog, read_mirrors
+
+    nodes = [TableLog(f"{tmp_path}/{i}") for i in range(2)]
+    for node in nodes:
+        node.append(make_log(*[("t", 0, o, b"k", b"v") for o in range(9)]))
+    merged = merge_mirrors(read_mirrors(spark, nodes, ["t"]), prefer=1)
+    assert pairs(merged, "offset", "node_id") == [(o, 1) for o in range(9)]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_repeats_within_a_node_are_merged(make_log):
     log = mirror(make_log, 0, (0, 0), (0, 0), (0, 1))
     assert pairs(merge_mirrors(tag_mirrors([log])), "offset") == [(0,), (1,)]

@@ -285,6 +285,7 @@ SELECT source_topic, target_topic, target_partition,
     ),
     "candidate_history": _sql("SELECT tick, node_id, weight FROM candidates", "candidates"),
     "active_history": _sql("SELECT tick, node_id, previous_node FROM active", "active"),
+    "stream_active_history": _sql("SELECT tick, node_id, previous_node FROM active", "active"),
     "lag_breaches": _sql("SELECT tick, active_node, node_id, lead FROM breaches", "breaches"),
     "switch_counts": _sql(
         """

@@ -42,10 +42,18 @@ from logsync.operators import (
     validate_routes,
 )
 from logsync.plans import captured, outstanding_messages, relay_with_failover
+from logsync.schemas import HEALTH_SCHEMA
 from logsync.session import run_folder
 from logsync.sinks import TableTarget, write_batch_idempotent, write_log
 from logsync.sources import TableLog, end_offsets, read_log_stream, read_mirrors
-from logsync.streaming import merge_mirrors_stream, progress_metrics, progress_rows, relay_until_end
+from logsync.streaming import (
+    ActiveHistory,
+    active_history_stream,
+    merge_mirrors_stream,
+    progress_metrics,
+    progress_rows,
+    relay_until_end,
+)
 
 from . import views
 
@@ -386,6 +394,24 @@ def stored_mirrors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("partition", "offset", "node_id")
 
 
+def stream_active_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source in use, followed through a week of health samples per batch."""
+    folder = run_folder(spark, "stream-active-history")
+    samples = views.health(spark, sf_dir)
+    weeks = samples.withColumn("week", F.date_trunc("week", F.col("tick"))).persist()
+    # One file per week, oldest first: files are streamed in that order.
+    for row in weeks.select("week").distinct().orderBy("week").collect():
+        week = weeks.where(F.col("week") == F.lit(row.week)).select(*samples.columns)
+        week.coalesce(1).write.mode("append").parquet(f"{folder}/health")
+    weeks.unpersist()
+    history = ActiveHistory(f"{folder}/active", views.lag_threshold(spark, sf_dir))
+    active_history_stream(
+        spark.readStream.schema(HEALTH_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{folder}/health"),
+        history, f"{folder}/checkpoint", trigger={"availableNow": True},
+    ).awaitTermination()
+    return history.read(spark).select(_ntz("tick"), "node_id", "previous_node")
+
+
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the batches of a filtered stream add up to."""
     folder = run_folder(spark, "stream-progress")
@@ -433,5 +459,6 @@ QUERIES: dict[str, Query] = {
     "idempotent_batch": idempotent_batch,
     "stream_relay": stream_relay,
     "stream_merge_mirrors": stream_merge_mirrors,
+    "stream_active_history": stream_active_history,
     "stream_progress": stream_progress,
 }
