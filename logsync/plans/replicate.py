@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.filters import Filter, filter_messages
 from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
 from ..operators.offsets import after_offsets
 from ..operators.routing import to_message
 from ..schemas import OFFSETS_SCHEMA
-from ..sinks.targets import Target
+from ..sinks.targets import TableTarget, Target
 from ..sinks.write import write_log
 from ..sources.read import LogSource, end_offsets, read_log
 
@@ -59,17 +58,54 @@ def relay_bounded(
     mode: str = "source",
     partitions: int | None = None,
     missing: str = "start",
-    batch_id: int | None = None,
+    max_per_round: int | None = None,
 ) -> int:
     """Copy from where the target stands up to the ends seen now, and stop.
 
-    Start and stop bounds both reach the scan. Returns the batch id written.
+    Start and stop bounds both reach the scan. ``max_per_round`` copies at most
+    that many offsets of a partition at a time, one batch after the other: a
+    target that takes a partition from a single task, in order, is never handed
+    an unbounded one, and a job that is lost resumes at its last round. By
+    default the target decides. Returns the number of batches written.
     """
     topics = source_topics(routes)
     start = captured(spark, target.high_watermarks(spark))
-    if missing == "skip":
-        start = start.where(F.col("topic").isin(topics))
     ends = captured(spark, end_offsets(spark, source, topics))
-    log = read_log(spark, source, topics, start, ends, missing)
-    messages = to_message(filter_messages(log, filters or {}), routes, mode, partitions)
-    return write_log(messages, target, batch_id)
+    if max_per_round is None:
+        max_per_round = getattr(target, "max_per_round", None)
+    rounds = list(_rounds(spark, start, ends, missing, max_per_round))
+    for number, (low, high) in enumerate(rounds):
+        log = read_log(spark, source, topics, low, high, "skip")
+        messages = to_message(filter_messages(log, filters or {}), routes, mode, partitions)
+        if isinstance(target, TableTarget):
+            write_log(messages, target)
+        else:
+            target.write_batch(messages, number)
+    return len(rounds)
+
+
+def _rounds(
+    spark: SparkSession, start: DataFrame, ends: DataFrame, missing: str, width: int | None
+) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Start and end offsets of each round, for the partitions it advances."""
+    first = {(row.topic, row.partition): row.next_offset for row in start.collect()}
+    spans = []
+    for row in ends.collect():
+        key = (row.topic, row.partition)
+        low = first.get(key, 0 if missing == "start" else row.next_offset)
+        if low < row.next_offset:
+            spans.append((*key, low, row.next_offset))
+    while spans:
+        step = [
+            (topic, partition, low, high if width is None else min(high, low + width))
+            for topic, partition, low, high in spans
+        ]
+        yield (
+            local_table(spark, [(t, p, low) for t, p, low, _ in step], OFFSETS_SCHEMA),
+            local_table(spark, [(t, p, high) for t, p, _, high in step], OFFSETS_SCHEMA),
+        )
+        spans = [
+            (topic, partition, done, high)
+            for (topic, partition, _, high), (_, _, _, done) in zip(spans, step)
+            if done < high
+        ]

@@ -31,6 +31,10 @@ SOURCE_TOPIC_HEADER = "_st"
 SOURCE_PARTITION_HEADER = "_sp"
 SOURCE_OFFSET_HEADER = "_so"
 
+# Offsets of a source partition that a target which must take a partition from
+# one task, in order, is handed at a time.
+ORDERED_ROWS = 1_000_000
+
 TABLE_PROGRESS_SCHEMA = T.StructType(
     OFFSETS_SCHEMA.fields
     + [
@@ -176,6 +180,7 @@ class KafkaTarget:
     servers: str
     options: Mapping[str, str] = field(default_factory=dict)
     carry_source: bool = True
+    max_per_round: int = ORDERED_ROWS
 
     def rows(self, messages: DataFrame) -> DataFrame:
         if self.carry_source:
@@ -212,6 +217,7 @@ class RowTarget:
 
     write_rows: Callable[[Iterator[Row]], None]
     watermarks: Callable[[SparkSession], DataFrame] | None = None
+    max_per_round: int = ORDERED_ROWS
 
     def write_batch(self, messages: DataFrame, batch_id: int) -> None:
         order_for_write(messages, single_writer=True).foreachPartition(self.write_rows)

@@ -17,6 +17,8 @@ from ..schemas import LOG_COLUMNS, OFFSETS_SCHEMA
 
 # Fixed value: the connector's mark for "from the earliest offset".
 EARLIEST = -2
+# Bounds a micro-batch, also the first one over a long topic.
+RECORDS_PER_TRIGGER = 10_000_000
 
 
 def offsets_json(
@@ -105,7 +107,8 @@ class KafkaLog:
         max_per_trigger: int | None = None,
     ) -> DataFrame:
         """Unbounded scan; ``max_per_trigger`` counts records."""
-        options = self.reader_options(topics, _rows(start), max_per_trigger=max_per_trigger)
+        records = RECORDS_PER_TRIGGER if max_per_trigger is None else max_per_trigger
+        options = self.reader_options(topics, _rows(start), max_per_trigger=records)
         return spark.readStream.format("kafka").options(**options).load().select(*LOG_COLUMNS)
 
     def end_offsets(self, spark: SparkSession, topics: Sequence[str], scratch: str) -> DataFrame:

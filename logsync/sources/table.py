@@ -19,6 +19,10 @@ from ..schemas import LOG_COLUMNS, LOG_SCHEMA, OFFSETS_SCHEMA
 from ..sinks.order import order_for_write
 
 
+# Bounds a micro-batch, also the first one over a long log.
+FILES_PER_TRIGGER = 1_000
+
+
 @dataclass(frozen=True)
 class TableLog:
     """Files below ``path``, laid out by topic and partition.
@@ -54,9 +58,8 @@ class TableLog:
         max_per_trigger: int | None = None,
     ) -> DataFrame:
         """Unbounded scan; ``max_per_trigger`` counts files."""
-        reader = spark.readStream.schema(LOG_SCHEMA)
-        if max_per_trigger is not None:
-            reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+        files = FILES_PER_TRIGGER if max_per_trigger is None else max_per_trigger
+        reader = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files)
         log = _of_topics(reader.parquet(self.path), topics)
         return log if start is None else after_offsets(log, start)
 

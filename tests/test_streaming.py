@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from logsync.operators import local_table, reconcile, replication_lag, tag_mirrors
 from logsync.plans import relay_bounded, relay_with_failover
 from logsync.schemas import CATALOG_SCHEMA, HEALTH_SCHEMA
-from logsync.sinks import TableTarget
+from logsync.sinks import RowTarget, TableTarget
 from logsync.sources import TableLog, read_log_stream
 from logsync.streaming import (
     ProgressListener,
@@ -92,6 +92,35 @@ def test_relaying_twice_adds_nothing(spark, world):
     assert differing.count() == 0
 
 
+def test_rounds_keep_order_and_resume(spark, world, tmp_path):
+    world.produce("a", 0, *range(7))
+    world.produce("a", 1, 0, 1)
+    folder = tmp_path / "rows"
+    folder.mkdir()
+
+    def write_rows(rows, folder=str(folder)):
+        import os
+        import time
+
+        lines = [f"{row.source_partition} {row.source_offset}" for row in rows]
+        if lines:
+            with open(os.path.join(folder, str(time.time_ns())), "w") as out:
+                out.write("\n".join(lines))
+
+    rows = RowTarget(write_rows, max_per_round=3)
+    assert relay_bounded(spark, world.source, world.routes, rows) == 3
+    written = [
+        line for name in sorted(folder.iterdir()) for line in name.read_text().split("\n")
+    ]
+    for partition, size in (("0", 7), ("1", 2)):
+        mine = [line for line in written if line.startswith(partition)]
+        assert mine == [f"{partition} {o}" for o in range(size)]
+    assert relay_bounded(spark, world.source, world.routes, world.target, max_per_round=4) == 2
+    assert len(world.copied()) == 9
+    read = world.target.read(spark).where("partition = 0")
+    assert pairs(read, "offset", "source_offset") == [(o, o) for o in range(7)]
+
+
 def test_bad_routes_stop_the_start(spark, world):
     world.produce("a", 0, 0)
     catalog = local_table(spark, [("x", 0)], CATALOG_SCHEMA)
