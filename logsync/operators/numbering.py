@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .lookup import lookup_join
-
 SLICE_WIDTH = 1 << 16
 
 
@@ -34,11 +32,13 @@ def number_rows(
     name: str,
     then: Sequence[str] = (),
     width: int = SLICE_WIDTH,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: 0, 1, 2 … within ``keys`` by (``then``, ``order``).
 
     ``order`` is an integer column, unique within (``keys``, ``then``); the key
-    columns hold no NULL.
+    columns hold no NULL. ``base`` (``keys``, next_offset) has the first number
+    of keys that do not start at 0.
     """
     keys, then = list(keys), list(then)
     slice_keys = [*keys, *then, "_slice"]
@@ -53,6 +53,11 @@ def number_rows(
         *slice_keys,
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
     )
+    if base is not None:
+        starts = starts.join(base.select(*keys, "next_offset"), keys, "left").select(
+            *slice_keys,
+            (F.col("_start") + F.coalesce("next_offset", F.lit(0))).alias("_start"),
+        )
     # The window and the join share one hash partitioning of the rows. Every row
     # finds its start; a left join keeps the optimizer from moving the rows.
     inside = W.partitionBy(*slice_keys).orderBy(order)
@@ -79,20 +84,12 @@ def assign_target_offsets(
             F.raise_error(F.lit("a table target needs a target partition")).cast("int")
         ),
     )
-    numbered = number_rows(
+    return number_rows(
         checked,
         ["topic", "partition"],
         "source_offset",
         "offset",
         then=["source_topic", "source_partition"],
         width=width,
-    )
-    if base is None:
-        return numbered
-    return (
-        lookup_join(
-            numbered, base, ["topic", "partition"], "left", spread="source_offset"
-        )
-        .withColumn("offset", F.col("offset") + F.coalesce("next_offset", F.lit(0)))
-        .drop("next_offset")
+        base=base,
     )
