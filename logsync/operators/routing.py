@@ -36,18 +36,27 @@ def route_topics(log: DataFrame, routes: DataFrame) -> DataFrame:
     """Rename ``topic`` to its target topic; drop records without a route.
 
     Adds source_topic, source_partition, source_offset and target_partition
-    (NULL where the route pins none). A source topic has one route.
+    (NULL where the route pins none). A source topic has one route. A few routes
+    are written into the plan, where they also let the scan skip other topics;
+    many are looked up.
     """
-    rows = bounded_rows(routes.select("source_topic"), LITERAL_ROWS)
+    rows = bounded_rows(routes, LITERAL_ROWS)
     if rows is not None:
-        # Lets the scan skip topics that nobody asked for.
         log = log.where(F.col("topic").isin([row.source_topic for row in rows]))
     renamed = log.withColumnsRenamed(
         {"topic": "source_topic", "partition": "source_partition", "offset": "source_offset"}
     )
-    return lookup_join(
-        renamed, routes, ["source_topic"], spread="source_offset"
-    ).withColumnRenamed("target_topic", "topic")
+    if rows is None:
+        return lookup_join(
+            renamed, routes, ["source_topic"], spread="source_offset"
+        ).withColumnRenamed("target_topic", "topic")
+    topic, partition = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for row in rows:
+        routed = F.col("source_topic") == row.source_topic
+        topic = F.when(routed, F.lit(row.target_topic)).otherwise(topic)
+        if row.target_partition is not None:
+            partition = F.when(routed, F.lit(row.target_partition)).otherwise(partition)
+    return renamed.withColumn("topic", topic).withColumn("target_partition", partition)
 
 
 def route_partition(

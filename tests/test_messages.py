@@ -31,6 +31,16 @@ def test_unrouted_topics_are_dropped(make_log, make_routes):
     assert pairs(routed, "source_topic", "topic", "source_partition") == [("a", "x", 1)]
 
 
+def test_many_routes_are_looked_up(make_log, make_routes, monkeypatch):
+    log = make_log(("a", 1, 0, b"k", b"v"), ("b", 0, 0, b"k", b"v"), ("c", 2, 0, b"k", b"v"))
+    routes = make_routes(("a", "x", None), ("c", "y", 5))
+    columns = ["source_topic", "topic", "source_partition", "target_partition"]
+    few = {tuple(row) for row in route_topics(log, routes).select(*columns).collect()}
+    monkeypatch.setattr("logsync.operators.routing.LITERAL_ROWS", 1)
+    many = {tuple(row) for row in route_topics(log, routes).select(*columns).collect()}
+    assert few == many == {("a", "x", 1, None), ("c", "y", 2, 5)}
+
+
 def test_partition_modes(make_log, make_routes):
     log = make_log(("a", 5, 0, b"k", b"v"), ("b", 6, 0, b"k", b"v"))
     routed = route_topics(log, make_routes(("a", "x", None), ("b", "x", 2)))
