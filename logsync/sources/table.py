@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +72,12 @@ class TableLog:
         footers.conf.set("spark.sql.sources.useV1SourceList", "")
         footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         ends = high_watermarks(self.scan(footers, topics))
-        rows = bounded_rows(ends, BROADCAST_ROWS)
+        try:
+            rows = bounded_rows(ends, BROADCAST_ROWS)
+        except AnalysisException:
+            raise
+        except (PySparkException, Py4JJavaError):
+            rows = None  # some file has no statistics
         if rows is None:
             return high_watermarks(self.scan(spark, topics))
         return local_table(spark, rows, OFFSETS_SCHEMA)

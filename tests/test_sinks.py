@@ -109,6 +109,17 @@ def test_end_offsets_come_from_footers(spark, make_log, tmp_path):
     assert pairs(ends, "partition", "next_offset") == [(0, 10), (1, 6)]
 
 
+def test_end_offsets_of_files_without_statistics(spark, make_log, tmp_path):
+    source = TableLog(f"{tmp_path}/log")
+    log = make_log(*[("a", 0, o, b"k", b"v") for o in range(5)])
+    (
+        log.write.option("parquet.column.statistics.enabled", "false")
+        .partitionBy("topic", "partition")
+        .parquet(source.path)
+    )
+    assert pairs(end_offsets(spark, source, ["a"]), "partition", "next_offset") == [(0, 5)]
+
+
 def test_files_cover_narrow_ranges(spark, messages, tmp_path):
     target = TableTarget(f"{tmp_path}/t", slice_width=16)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
