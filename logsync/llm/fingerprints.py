@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from logsync.llm.components import _kept
+
 K = 128
 WIDTH = 5
 # Ids that share a window; a group holds so many rows at most, ids being unique.
@@ -100,7 +102,8 @@ def successors(ids: DataFrame, group: int = GROUP) -> DataFrame:
     """
     grouped = ids.select("id", F.floor(F.col("id") / group).alias("grp"))
     inner = grouped.select("id", "grp", F.lead("id").over(W.partitionBy("grp").orderBy("id")).alias("next_id"))
-    heads = grouped.groupBy("grp").agg(F.min("id").alias("head"))
+    # A table for each level, a group's width smaller than the one below.
+    heads = _kept(grouped.groupBy("grp").agg(F.min("id").alias("head")), "heads")
     known = inner.where("next_id IS NOT NULL").select("id", "next_id")
     last = inner.where("next_id IS NULL").select("id", "grp")
     if heads.limit(2).count() < 2:
@@ -122,7 +125,8 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     ids = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"))
     heads = ids.groupBy(F.floor(F.col("id") / GROUP).alias("grp")).agg(F.min("id").alias("head"))
     # One row for each group of ids.
-    order = successors(heads.select(F.col("grp").alias("id")))
+    heads = _kept(heads, "heads")
+    order = successors(heads.select(F.col("grp").alias("id")), GROUP)
     to = order.join(heads, order["next_id"] == heads["grp"]).select(
         F.col("id").alias("_to"), F.col("head").alias("_head")
     )

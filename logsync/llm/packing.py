@@ -40,7 +40,7 @@ CAPACITY = 2048
 # Fillings looked at around one piece, and steps of the whole search.
 FILLINGS = 400
 BRANCHES = 4
-STEPS = 6_000
+STEPS = 3_000
 # So many plan rows, or counts of tasks, are broadcast: a few dozen bytes each.
 BROADCAST_ROWS = 500_000
 
@@ -143,6 +143,7 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     steps = 0
     # Each entry: what is left, the plan so far, its sequences.
     open_nodes: list[tuple[dict[int, int], Plan, int]] = [(dict(counts), [], 0)]
+    reached: dict[tuple, int] = {}
     while open_nodes and fewest > bound and steps < STEPS:
         left, plan, sequences = open_nodes.pop()
         steps += 1
@@ -153,6 +154,11 @@ def pack(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
         if sequences + waste_bound(left, capacity) >= fewest:
             continue
         lengths = sorted(left)
+        # The same pieces left over, in no more sequences, were looked at already.
+        state = tuple((x, left[x]) for x in lengths)
+        if reached.get(state, sequences + 1) <= sequences:
+            continue
+        reached[state] = sequences
         children = []
         for filling in fillings(lengths, left, capacity) or [(lengths[-1],)]:
             used = Counter(filling)

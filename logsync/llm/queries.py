@@ -139,6 +139,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline``, one after the other."""
+    # It imports this module itself.
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)

@@ -1,7 +1,7 @@
 """URL filters: rules indexed by their rarest literal token.
 
-A rule is a host, which also stands for its subdomains, and the beginning of a
-path, in which ``*`` stands for anything. Most urls hold the tokens of few
+A rule is a host, which also stands for its subdomains (an empty one for every
+host), and the beginning of a path, in which ``*`` stands for anything. Most urls hold the tokens of few
 rules, so a url fetches the rules filed under its own tokens, and only those
 run their regular expression. Of the rules that fit, the longest wins; among
 equally long ones the longer host, then ``block`` before ``allow``.
@@ -66,7 +66,7 @@ def compiled(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
         rule.alias("rule"),
         F.length(host).alias("host_length"),
         F.concat(
-            F.lit(r"(?s)^(?:[^/]*\.)?"),
+            F.when(host == "", r"(?s)^[^/]*").otherwise(r"(?s)^(?:[^/]*\.)?"),
             F.regexp_replace(host, r"([\\.^$|?+()\[\]{}\-])", r"\\$1"),
             F.regexp_replace(escaped, r"\*", ".*"),
         ).alias("pattern"),
