@@ -40,10 +40,10 @@ from logsync.llm.text import WordHashes, combined, text_blocks
 
 WIDTH = 4
 PERCENT = 85
-BUCKETS = 1 << 24
-CHUNK = 1 << 18
+BUCKETS = 1 << 22
+CHUNK = 1 << 16
 # Tokens counted before they are added to the buckets of a task.
-COUNTED = 4_000_000
+COUNTED = 1_000_000
 # So many ids are broadcast to fetch their texts: eight bytes each.
 BROADCAST_IDS = 1_000_000
 
@@ -124,7 +124,7 @@ def _count(counts: np.ndarray, sets: list[np.ndarray]) -> None:
 
 
 def _levels(scanned: DataFrame) -> np.ndarray:
-    """The logarithm of each bucket's count: a byte a bucket, so 16 MB at the driver.
+    """The logarithm of each bucket's count: a byte a bucket, so 4 MB at the driver.
 
     Tasks add up the counts as they stream in, a chunk of buckets at a time.
     """

@@ -35,7 +35,7 @@ TRAIN_WORDS = 60_000
 LONGEST = 24
 HIDDEN, SYMBOLS = 16, 256
 BATCH, EPOCHS, RATE = 256, 4, 0.01
-CACHED = 200_000
+CACHED = 100_000
 UNKNOWN = "und"
 RESULT = ("lang_pred", "score")
 

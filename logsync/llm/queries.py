@@ -30,6 +30,10 @@ URL_RULES = (
 )
 
 
+# Texts may be long: so many make an Arrow batch.
+BATCH_ROWS = 1_000
+
+
 def importable(spark: SparkSession) -> None:
     """Lets the workers of a local session import what its driver has imported.
 
@@ -41,6 +45,7 @@ def importable(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

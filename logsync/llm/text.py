@@ -11,9 +11,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words remembered by a worker; beyond that it starts anew.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 100_000
 # Bytes of text that a worker handles at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xBF58476D1CE4E5B9)

@@ -20,7 +20,7 @@ ID = np.dtype("<u4")
 
 # A piece longer than this is not worth remembering; so many are.
 _LONGEST = 40
-_CACHED = 700_000
+_CACHED = 300_000
 _WHOLE = re.compile(
     "[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbeɐ-‏ -\U0010ffff]|<\\|"
 )

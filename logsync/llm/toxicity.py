@@ -76,7 +76,7 @@ def features(text: bytes | None, stems: Stems) -> np.ndarray:
     words, *short = stems.of((text or b"").translate(PLAIN).split())
     grams = (words, *short, combined(words, 2), combined(words, 3), combined(words, 2, 2))
     mixed = [(g ^ np.uint64(s)) % np.uint64(BUCKETS) for g, s in zip(grams, _SALTS)]
-    return np.unique(np.concatenate(mixed).astype(np.int64))
+    return np.unique(np.concatenate(mixed).astype(np.int32))
 
 
 class Ftrl:
@@ -84,8 +84,8 @@ class Ftrl:
 
     def __init__(self) -> None:
         # The last coordinate is the bias, which L1 leaves alone.
-        self.z = np.zeros(BUCKETS + 1)
-        self.n = np.zeros(BUCKETS + 1)
+        self.z = np.zeros(BUCKETS + 1, np.float32)
+        self.n = np.zeros(BUCKETS + 1, np.float32)
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         z = self.z[at]
