@@ -22,7 +22,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 BROADCAST_ROWS = 200_000
 # Up to this many rows become literals that a Parquet scan can use.
 LITERAL_ROWS = 64
-SALTS = 64
+LEAST_SALTS = 64
+
+
+def refuse_repeats(table: DataFrame, keys: Sequence[str], rows: Sequence[Row] | None) -> None:
+    """Raise where two rows of a lookup table share a key.
+
+    ``rows``: the whole table where it is at the driver already.
+    """
+    if rows is not None:
+        found = [tuple(row[k] for k in keys) for row in rows]
+        repeated = len(found) > len(set(found))
+    else:
+        counts = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = counts.where("_n > 1").limit(1).count() > 0
+    if repeated:
+        raise ValueError(f"a lookup table has several rows with the same {', '.join(keys)}")
 
 
 def bounded_rows(table: DataFrame, limit: int) -> list[Row] | None:
@@ -54,17 +69,20 @@ def lookup_join(
     how: str = "inner",
     spread: Column | str = "offset",
     limit: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``log`` (large, skewed on ``keys``) with ``table`` (small).
 
     ``how`` is inner, left, left_semi or left_anti. ``spread`` is a log column
     that varies within a key; it decides the salt when the table is too large
-    to broadcast.
+    to broadcast; there are as many salts as shuffle partitions, 64 at least.
     """
     keys = list(keys)
     if fits(table, limit):
         return log.join(F.broadcast(table), keys, how)
+    salts = salts or max(
+        LEAST_SALTS, int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    )
     column = F.col(spread) if isinstance(spread, str) else spread
     salted = log.withColumn("_salt", F.pmod(F.xxhash64(column), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table, lookup_join
+from .lookup import (
+    BROADCAST_ROWS,
+    LITERAL_ROWS,
+    bounded_rows,
+    local_table,
+    lookup_join,
+    refuse_repeats,
+)
 
 PARTITION_KEYS = ["topic", "partition"]
 
@@ -34,6 +41,10 @@ def source_progress(target_log: DataFrame) -> DataFrame:
     )
 
 
+# Records without topic or partition belong nowhere and are left out.
+_PLACED = "topic IS NOT NULL AND partition IS NOT NULL"
+
+
 def after_offsets(
     log: DataFrame,
     offsets: DataFrame,
@@ -52,6 +63,8 @@ def after_offsets(
         raise ValueError(f"missing must be start or skip, not {missing!r}")
     table = offsets.select(*PARTITION_KEYS, "next_offset")
     rows = bounded_rows(table, broadcast_rows)
+    refuse_repeats(table, PARTITION_KEYS, rows)
+    log = log.where(_PLACED)
     if rows is not None and len(rows) <= literal_rows:
         return log.where(_from_literals(rows, missing))
     if rows is not None:
@@ -78,6 +91,8 @@ def until_offsets(
     """
     table = ends.select(*PARTITION_KEYS, "next_offset")
     rows = bounded_rows(table, broadcast_rows)
+    refuse_repeats(table, PARTITION_KEYS, rows)
+    log = log.where(_PLACED)
     if rows is not None and len(rows) <= literal_rows:
         kept = [_is_partition(row) & (F.col("offset") < row.next_offset) for row in rows]
         return log.where(_any(kept))
@@ -115,6 +130,8 @@ def between_offsets(
         F.col("_start") < F.col("_end")
     )
     rows = bounded_rows(ranges, broadcast_rows)
+    refuse_repeats(ranges, PARTITION_KEYS, rows)
+    log = log.where(_PLACED)
     if rows is not None and len(rows) <= literal_rows:
         kept = [
             _is_partition(row) & (F.col("offset") >= row._start) & (F.col("offset") < row._end)

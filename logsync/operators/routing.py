@@ -12,7 +12,7 @@ from ..functions.headers import (
     single_header,
 )
 from ..schemas import MESSAGE_COLUMNS
-from .lookup import LITERAL_ROWS, bounded_rows, lookup_join
+from .lookup import LITERAL_ROWS, bounded_rows, lookup_join, refuse_repeats
 
 PARTITION_MODES = ("source", "pinned", "auto")
 
@@ -36,11 +36,12 @@ def route_topics(log: DataFrame, routes: DataFrame) -> DataFrame:
     """Rename ``topic`` to its target topic; drop records without a route.
 
     Adds source_topic, source_partition, source_offset and target_partition
-    (NULL where the route pins none). A source topic has one route. A few routes
+    (NULL where the route pins none). A source topic has one route; several are refused. A few routes
     are written into the plan, where they also let the scan skip other topics;
     many are looked up.
     """
     rows = bounded_rows(routes, LITERAL_ROWS)
+    refuse_repeats(routes, ["source_topic"], rows)
     if rows is not None:
         log = log.where(F.col("topic").isin([row.source_topic for row in rows]))
     renamed = log.withColumnsRenamed(

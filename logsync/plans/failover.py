@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from ..sinks.targets import Target
 from ..sources.read import LogSource, end_offsets
 from .replicate import captured, relay_bounded, source_topics
 
+# A source that cannot be read: a plan that fails, or a job that does.
+UNREADABLE = (PySparkException, Py4JJavaError)
+
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -48,7 +52,7 @@ def poll_sources(
             rows += [(tick, r.topic, node, r.partition, r.next_offset, True) for r in ends]
             # A topic without records is healthy and weighs nothing.
             rows += [(tick, t, node, None, 0, True) for t in topics if t not in seen]
-        except PySparkException:
+        except UNREADABLE:
             rows += [(tick, topic, node, None, None, False) for topic in topics]
     return local_table(spark, rows, HEALTH_SCHEMA)
 
@@ -114,7 +118,7 @@ def relay_with_failover(
                     mode,
                     partitions,
                 )
-            except PySparkException:
+            except UNREADABLE:
                 # A source that died under way leaves an uncounted batch, which
                 # the next one replaces; anything else is not ours to hide.
                 if _readable(spark, sources[node], mine):
@@ -125,7 +129,7 @@ def relay_with_failover(
 def _readable(spark: SparkSession, source: LogSource, topics: Sequence[str]) -> bool:
     try:
         end_offsets(spark, source, topics).collect()
-    except PySparkException:
+    except UNREADABLE:
         return False
     return True
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.numbering import SLICE_WIDTH, slice_of
 
@@ -21,12 +22,15 @@ def order_for_write(
     partition is spread over tasks and every file covers narrow offset ranges;
     readers of a table order by offset. With ``single_writer`` all rows of a
     topic-partition go to one task in order, as an append-only broker needs;
+    records without a partition are spread by key;
     use that within micro-batches, whose size ``max_per_trigger`` bounds.
     """
     *before, offset = order
     keys = ["topic", "partition"]
     if single_writer:
-        spread = messages.repartition(*keys)
+        # Where the sink chooses the partition, only a key's own order counts.
+        free = F.xxhash64(F.coalesce(F.col("key"), F.concat_ws(":", *order).cast("binary")))
+        spread = messages.repartition(*keys, F.when(F.col("partition").isNull(), free))
     else:
         spread = messages.repartition(*keys, *before, slice_of(offset, width))
     return spread.sortWithinPartitions(*keys, *order)

@@ -8,7 +8,7 @@ from functools import reduce
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -229,16 +229,22 @@ class RowTarget:
 
 
 def source_coordinates(target_log: DataFrame) -> DataFrame:
-    """Restore source columns of a Kafka target's log from its headers."""
-    last = F.transform(
-        F.slice(F.reverse("headers"), 1, 3), lambda header: header["value"].cast("string")
-    )
-    return (
-        target_log.withColumn("_last", last)
-        .withColumn("source_topic", F.try_element_at("_last", F.lit(3)))
-        .withColumn("source_partition", F.try_element_at("_last", F.lit(2)).cast("int"))
-        .withColumn("source_offset", F.try_element_at("_last", F.lit(1)).cast("bigint"))
-        .drop("_last")
+    """Restore source columns of a Kafka target's log from its headers.
+
+    The last header of each name counts, as a relay appends its own; records
+    without them, which others wrote, get NULL.
+    """
+
+    def last(name: str) -> Column:
+        named = F.filter("headers", lambda header: header["key"] == name)
+        return F.try_element_at(named, F.lit(-1))["value"].cast("string")
+
+    return target_log.withColumns(
+        {
+            "source_topic": last(SOURCE_TOPIC_HEADER),
+            "source_partition": last(SOURCE_PARTITION_HEADER).try_cast("int"),
+            "source_offset": last(SOURCE_OFFSET_HEADER).try_cast("bigint"),
+        }
     )
 
 

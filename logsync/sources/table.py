@@ -23,6 +23,7 @@ from ..sinks.order import order_for_write
 
 # Bounds a micro-batch, also the first one over a long log.
 FILES_PER_TRIGGER = 1_000
+MAX_FILE_AGE = "36500d"
 
 
 @dataclass(frozen=True)
@@ -61,8 +62,17 @@ class TableLog:
     ) -> DataFrame:
         """Unbounded scan; ``max_per_trigger`` counts files."""
         files = FILES_PER_TRIGGER if max_per_trigger is None else max_per_trigger
-        reader = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files)
-        log = _of_topics(reader.parquet(self.path), topics)
+        reader = (
+            spark.readStream.schema(LOG_SCHEMA)
+            .option("maxFilesPerTrigger", files)
+            # However old a file is, it was not copied yet.
+            .option("maxFileAge", MAX_FILE_AGE)
+            .option("basePath", self.path)
+        )
+        # Only the folders of these topics: what a checkpoint counts as seen is
+        # then what was copied, and a topic added later is read from its start.
+        folders = f"{self.path}/topic={{{','.join(sorted(topics))}}}"
+        log = _of_topics(reader.parquet(folders), topics)
         return log if start is None else after_offsets(log, start)
 
     def end_offsets(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:

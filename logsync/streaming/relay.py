@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import Filter, attribute_filters
-from ..operators.offsets import until_offsets
 from ..operators.routing import to_message, validate_routes
-from ..plans.replicate import captured, source_topics
+from ..plans.replicate import source_topics
 from ..sinks.targets import Target
 from ..sinks.write import write_log_stream
-from ..sources.read import LogSource, end_offsets, read_log_stream
+from ..sources.read import LogSource, read_log_stream
 from .progress import observe_relay
 
 
@@ -39,7 +38,6 @@ def relay_stream(
     mode: str = "source",
     partitions: int | None = None,
     start: DataFrame | None = None,
-    end: DataFrame | None = None,
     max_per_trigger: int | None = None,
     trigger: dict | None = None,
     name: str = "relay",
@@ -54,8 +52,6 @@ def relay_stream(
     if catalog is not None:
         check_routes(routes, catalog)
     log = read_log_stream(spark, source, source_topics(routes), start, max_per_trigger)
-    if end is not None:
-        log = until_offsets(log, end)
     judged = attribute_filters(log, filters or {})
     counted = observe_relay(judged, list(filters or {}))
     allowed = counted.where(F.col("denied_by").isNull()).drop("denied_by")
@@ -71,12 +67,12 @@ def relay_until_end(
     checkpoint: str,
     **options,
 ) -> StreamingQuery:
-    """``relay_stream`` up to the end offsets seen now, in bounded batches.
+    """``relay_stream`` up to what the source holds at the start, in bounded batches.
 
-    The query ends by itself; ``awaitTermination`` waits for it.
+    The engine fixes the end itself and counts as read what it has copied, so
+    messages that arrive meanwhile belong to the next run on the checkpoint. The
+    query ends by itself; ``awaitTermination`` waits for it.
     """
-    ends = captured(spark, end_offsets(spark, source, source_topics(routes)))
     return relay_stream(
-        spark, source, routes, target, checkpoint, end=ends,
-        trigger={"availableNow": True}, **options,
+        spark, source, routes, target, checkpoint, trigger={"availableNow": True}, **options
     )
