@@ -53,7 +53,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
-    range(1, greatest(2, len(w) - 2)), i -> array_to_string(w[i : i + 3], ' '))) END AS s
+    range(1, greatest(2, len(w) - 2)), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
   FROM words
 ), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
 links AS (
