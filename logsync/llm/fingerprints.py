@@ -100,7 +100,8 @@ def successors(ids: DataFrame, group: int = GROUP) -> DataFrame:
     one begins, and their order is found the same way, a level up. No window
     holds more than ``group`` ids.
     """
-    grouped = ids.select("id", F.floor(F.col("id") / group).alias("grp"))
+    # Towards zero, so that ids of both signs meet in the end.
+    grouped = ids.select("id", (F.col("id") / group).cast("bigint").alias("grp"))
     inner = grouped.select("id", "grp", F.lead("id").over(W.partitionBy("grp").orderBy("id")).alias("next_id"))
     # A table for each level, a group's width smaller than the one below.
     heads = _kept(grouped.groupBy("grp").agg(F.min("id").alias("head")), "heads")
