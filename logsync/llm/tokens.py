@@ -20,7 +20,7 @@ ID = np.dtype("<u4")
 
 # A piece longer than this is not worth remembering; so many are.
 _LONGEST = 40
-_CACHED = 300_000
+_CACHED = 250_000
 _WHOLE = re.compile(
     "[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbeɐ-‏ -\U0010ffff]|<\\|"
 )
@@ -48,18 +48,24 @@ def _byte_signs() -> dict[int, str]:
 
 
 class _Cache(dict):
-    """Results by key; long keys are not kept."""
+    """Results by key; long keys are not kept.
+
+    A full cache becomes the older one, from which keys in use come back.
+    """
 
     def __init__(self, make) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.older = make, {}
 
     def bound(self) -> None:
         if len(self) > _CACHED:
+            self.older = dict(self)
             self.clear()
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= _LONGEST:
             self[key] = value
         return value
@@ -78,6 +84,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.signs = _byte_signs()
+        self.ids = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.pieces = _Cache(self._piece)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -85,8 +92,13 @@ class Encoder:
         return [np.array(x.ids, ID).tobytes() for x in found]
 
     def _piece(self, piece: str) -> bytes:
-        merged = self.merge(piece.encode().decode("latin-1").translate(self.signs))
-        return b"".join([t.id.to_bytes(4, "little") for t in merged])
+        if piece.isascii() and piece.isprintable():
+            # Of these only the blank has another sign.
+            shown = piece.replace(" ", self.signs[32])
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.signs)
+        ids = self.ids
+        return b"".join([ids[t.id] for t in self.merge(shown)])
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers, with the end id 0."""
