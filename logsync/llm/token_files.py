@@ -94,10 +94,15 @@ def _parsed(data: bytes) -> np.ndarray:
 
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A dictionary from the short texts with the lowest hashes of their ids."""
-    short = docs.where(F.length("text").between(1, SAMPLE_CHARS) & F.col("doc_id").isNotNull())
-    # So many ids, whatever the table.
-    chosen = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    sample = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(2 * SAMPLE_ROWS)
+    known = docs.where(F.col("doc_id").isNotNull())
+    rows = known.count()
+    # Hashes below this are some twice as many as the sample takes.
+    limit = -(1 << 63) + (1 << 64) * min(rows, 2 * SAMPLE_ROWS) // max(1, rows)
+    ranked = known.select("doc_id", "text", F.xxhash64("doc_id").alias("rank")).where(
+        F.col("rank") <= F.lit(min(limit, (1 << 63) - 1))
+    )
+    short = ranked.where(F.length("text").between(1, SAMPLE_CHARS))
+    sample = short.orderBy("rank", "doc_id", "text").limit(SAMPLE_ROWS).select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_all = encoder(tokenizer)

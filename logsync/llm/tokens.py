@@ -24,8 +24,10 @@ _CACHED = 250_000
 _WHOLE = re.compile(
     "[\x1c-\x1f\x85\xb2\xb3\xb9\xbc-\xbeɐ-‏ -\U0010ffff]|<\\|"
 )
+# The letters among the signs that _WHOLE leaves; of digits it leaves 0-9.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _PIECE = re.compile(
-    r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
 )
 
 
