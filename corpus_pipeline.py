@@ -19,6 +19,10 @@ from logsync.llm.tokens import tokenizer_path
 from logsync.llm.toxicity import score_toxicity, train_toxicity
 from logsync.session import run_folder
 
+# Near copies: so many words make a shingle, and so many percent are shared.
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
@@ -29,10 +33,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays.
 
-    Near copies share 0.85 of their four-word shingles, as the operator's
-    contract has it; rows that repeat an id go as well, those without id stay.
+    Near copies share 0.8 of their five-word shingles; op6's four words and 0.85
+    bind its query only. Rows that repeat an id go as well, those without id stay.
     """
-    groups = jaccard_components(docs)
+    groups = jaccard_components(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
     others = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.where("doc_id IS NOT NULL").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)

@@ -6,7 +6,7 @@ import corpus_pipeline
 import pytest
 from check_queries import compare, connect
 from pyspark.sql import functions as F
-from test_joins import brute_components, brute_contaminated, brute_dedup
+from test_joins import brute_components, brute_contaminated, brute_dedup, near_copies, roots, shingles
 from test_texts import check_packing
 
 from logsync.llm.oracles import ORACLES
@@ -52,3 +52,22 @@ def test_stages_take_odd_rows(spark, sf_dir, odd_docs):
             out = stage(spark, frame, sf_dir)
             assert out.columns == docs.columns
             assert out.count() <= frame.count()
+
+
+def brute_near_copies(rows):
+    """Components of pairs that share 0.8 of their five-word shingles."""
+    sets = [(i, shingles(t, 5)) for i, t in rows]
+    near = lambda x, y: x and y and 100 * len(x & y) >= 80 * len(x | y)
+    return roots({i for i, _ in rows}, [(i, j) for i, x in sets for j, y in sets if i < j and near(x, y)])
+
+
+def test_near_copies_share_eighty_percent_of_five_words(spark, make_docs):
+    rows = near_copies()
+    # One word in n differs: 0.8 of five-word shingles from 49 on, 0.85 of four-word ones from 53 on.
+    for n in range(46, 56):
+        words = [f"n{n}x{k}" for k in range(n)]
+        rows += [(5000 + 2 * n, " ".join(words)), (5001 + 2 * n, " ".join([*words[:20], "other", *words[21:]]))]
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, make_docs(*rows), "").collect()}
+    assert {5001 + 2 * n for n in range(46, 56)} & kept == {5001 + 2 * n for n in (46, 47, 48)}
+    tops = brute_near_copies(rows)
+    assert kept == {i for i, _ in rows if tops[i] == i}
