@@ -1,8 +1,9 @@
 """Substring dedup: sliding sentence spans, joined globally by hash.
 
-A text is cut, without loss, into sentences, which end with ``. ! ?`` or a line
-end; a sentence of more than ``SENTENCE_WORDS`` words is cut after every so
-many. Every run of ``SPAN`` consecutive sentences with ``SPAN_WORDS`` words or
+A text is cut, without loss, into sentences, which end with ``. ! ?``, the like
+of other scripts, or a line end; a sentence of more than ``SENTENCE_WORDS``
+words is cut where its words say so, whatever stands before. Signs of scripts
+that set no blanks are words each. Every run of ``SPAN`` consecutive sentences with ``SPAN_WORDS`` words or
 more is hashed, by its words with A-Z in lower case and without ASCII punctuation. Where a
 run occurs more than once in all documents, its first occurrence stays, by
 ascending id and then by place; the sentences of every other one are removed.
@@ -19,6 +20,7 @@ unless their names are those of the result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,21 +34,78 @@ from logsync.llm.text import PLAIN, WordHashes, combined, text_blocks
 SPAN = 2
 SPAN_WORDS = 8
 SENTENCE_WORDS = 25
+# In longer sentences a cut stands out among so many words to each side.
+NEAR_WORDS = 3
+_TOP = np.uint64((1 << 64) - 1)
 # Rows without id come after all others.
 NO_ID = (1 << 63) - 1
 RESULT = ("kept_text", "removed_sentences")
 
 _SENTENCE = re.compile(rb"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+")
-_WORDS = re.compile(rb"(?:\s*\S+){1,%d}\s*" % SENTENCE_WORDS)
+# Sentence ends of other scripts, and scripts that set no blanks between words.
+_ENDS = "|".join(map(re.escape, "\u3002\uff01\uff1f\uff0e\uff61\u2026\u061f\u06d4\u0964\u0965\u1362\u0589\u2028\u2029")).encode()
+_WIDE_END = re.compile(_ENDS)
+_WIDE_SENTENCE = re.compile(
+    rb"(?:(?!%b)[^.!?\n])*(?:[.!?\n]|%b)+(?:[ \t\r\n]|\xe3\x80\x80)*|(?:(?!%b)[^.!?\n])+" % (_ENDS, _ENDS, _ENDS)
+)
+_SIGN = (
+    rb"(?:[\xe3-\xe9][\x80-\xbf]{2}|\xf0[\xa0-\xb3][\x80-\xbf]{2}"
+    rb"|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1(?:[\x80-\x82]|[\x9e\x9f])[\x80-\xbf])"
+)
+_WIDE_SIGN = re.compile(_SIGN)
+_WIDE_WORD = re.compile(rb"%b|(?:(?!%b)[^ ])+" % (_SIGN, _SIGN))
+
+
+def _words(parts: list[bytes]) -> list[list[bytes]]:
+    """Plain words of each part; each sign of a script without blanks is one."""
+    plain = [p.translate(PLAIN) for p in parts]
+    return [_WIDE_WORD.findall(p) for p in plain] if _has_signs(b"".join(parts)) else [p.split() for p in plain]
+
+
+def _has_signs(text: bytes) -> bool:
+    return not text.isascii() and _WIDE_SIGN.search(text) is not None
+
+
+def _cut_long(part: bytes) -> list[bytes]:
+    """A sentence cut after words that have the lowest hash among their neighbours.
+
+    The choice depends on ``NEAR_WORDS`` words to each side and the word that
+    follows, so it is the same wherever a passage stands. Only stretches where
+    no word stands out, as where words recur, are cut every so many.
+    """
+    plain = part.translate(PLAIN)
+    if _has_signs(part):
+        found = list(_WIDE_WORD.finditer(plain))
+        words, starts = [m[0] for m in found], [m.start() for m in found]
+    else:
+        words, filled = plain.split(), np.frombuffer(b" " + plain, np.uint8) != 32
+        starts = np.flatnonzero(filled[1:] & ~filled[:-1]).tolist()
+    if len(words) <= SENTENCE_WORDS:
+        return [part]
+    value = combined(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), 2)
+    # Less than those before, not more than those after: two cuts lie further apart.
+    wide = np.concatenate([np.full(NEAR_WORDS, _TOP), value, np.full(NEAR_WORDS, _TOP)])
+    lowest = np.ones(len(value), bool)
+    for k in range(NEAR_WORDS):
+        lowest &= value < wide[k : k + len(value)]
+        lowest &= value <= wide[k + NEAR_WORDS + 1 : k + NEAR_WORDS + 1 + len(value)]
+    places, last = [], 0
+    for place in [*(np.flatnonzero(lowest) + 1).tolist(), len(words)]:
+        places += range(last + SENTENCE_WORDS, place, SENTENCE_WORDS)
+        places.append(place)
+        last = place
+    cuts = [0, *(starts[p] for p in places[:-1]), len(part)]
+    return [part[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def sentences(text: bytes | None) -> list[bytes]:
     """The sentences of a text, which joined give the text again."""
+    text = text or b""
     out: list[bytes] = []
-    for found in _SENTENCE.findall(text or b""):
-        if len(found) > 2 * SENTENCE_WORDS and len(found.split()) > SENTENCE_WORDS:
-            cut = _WORDS.findall(found)
-            out += cut if sum(map(len, cut)) == len(found) else [found]
+    wide = not text.isascii() and _WIDE_END.search(text)
+    for found in (_WIDE_SENTENCE if wide else _SENTENCE).findall(text):
+        if len(found) > 2 * SENTENCE_WORDS:
+            out += _cut_long(found) if len(found.split()) > SENTENCE_WORDS or not found.isascii() else [found]
         else:
             out.append(found)
     return out
@@ -54,7 +113,7 @@ def sentences(text: bytes | None) -> list[bytes]:
 
 def spans(parts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Places of the runs that count, and their hashes."""
-    words = [p.translate(PLAIN).split() for p in parts]
+    words = _words(parts)
     flat = hashes.of([w for own in words for w in own])
     ends = np.cumsum([0, *map(len, words)])
     size = len(parts) - SPAN + 1

@@ -168,6 +168,31 @@ def test_dedup_cuts_long_sentences(make_docs):
     assert got[1] == long and got[2] == ""
 
 
+def test_dedup_finds_passages_at_any_offset_of_a_long_sentence(make_docs):
+    random.seed(6)
+    passage = random.choices([f"p{i}" for i in range(500)], k=80)
+    rows = [(k, " ".join([f"own{k}x{i}" for i in range(k)] + passage + [f"end{k}"] * 3)) for k in range(1, 30)]
+    got = {i: t for i, t, _ in deduped(make_docs(*rows))}
+    assert got[1] == rows[0][1]
+    for k in range(2, 30):
+        # What the passage shares a part with at its ends may stay.
+        assert len(set(got[k].split()) & set(passage)) < 30, k
+        assert got[k].split()[:1] == [f"own{k}x0"]
+
+
+def test_dedup_of_scripts_without_blanks(make_docs):
+    random.seed(7)
+    signs = [chr(c) for c in range(0x4E00, 0x5E00)]
+    passage = "".join(random.sample(signs, 90))
+    ended = "".join("".join(random.sample(signs, 6)) + "\u3002" for _ in range(12))
+    rows = [(k, "".join(random.sample(signs, 3 * k)) + passage) for k in range(1, 6)]
+    rows += [(10 + k, "".join(random.sample(signs, k)) + "\u3002" + ended) for k in range(1, 4)]
+    got = {i: t for i, t, _ in deduped(make_docs(*rows))}
+    assert got[1] == rows[0][1] and got[11] == rows[5][1]
+    assert all(len(set(got[k]) & set(passage)) < 40 for k in range(2, 6))
+    assert all(len(got[10 + k]) == k + 1 for k in range(2, 4))
+
+
 def test_sentences_lose_nothing():
     for text in ("", "a", "..", "a. b\nc", "\n\n x y! z", "é" * 200, " ".join(["w"] * 99) + "?!\n end", " \x0b ".join("ab") * 90):
         assert b"".join(sd.sentences(text.encode())) == text.encode()
