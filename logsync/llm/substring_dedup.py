@@ -2,7 +2,8 @@
 
 A text is cut, without loss, into sentences, which end with ``. ! ?``, the like
 of other scripts, or a line end; a sentence of more than ``SENTENCE_WORDS``
-words is cut where its words say so, whatever stands before. Signs of scripts
+words is cut where its words say so, whatever stands before. Very short ones in a
+row are gathered likewise, so that they make runs. Signs of scripts
 that set no blanks are words each. Every run of ``SPAN`` consecutive sentences with ``SPAN_WORDS`` words or
 more is hashed, by its words with A-Z in lower case and without ASCII punctuation. Where a
 run occurs more than once in all documents, its first occurrence stays, by
@@ -34,6 +35,10 @@ from logsync.llm.text import PLAIN, WordHashes, combined, text_blocks
 SPAN = 2
 SPAN_WORDS = 8
 SENTENCE_WORDS = 25
+# Sentences of so many words or fewer are gathered where so many follow each other.
+SHORT_WORDS = 3
+SHORT_BYTES = 100
+SHORT_ROW = 4
 # In longer sentences a cut stands out among so many words to each side.
 NEAR_WORDS = 3
 _TOP = np.uint64((1 << 64) - 1)
@@ -82,6 +87,12 @@ def _cut_long(part: bytes) -> list[bytes]:
         starts = np.flatnonzero(filled[1:] & ~filled[:-1]).tolist()
     if len(words) <= SENTENCE_WORDS:
         return [part]
+    cuts = [0, *(starts[p] for p in _cuts(words)), len(part)]
+    return [part[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def _cuts(words: list[bytes]) -> list[int]:
+    """Places between words, before each of which a word has the lowest hash around."""
     value = combined(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), 2)
     # Less than those before, not more than those after: two cuts lie further apart.
     wide = np.concatenate([np.full(NEAR_WORDS, _TOP), value, np.full(NEAR_WORDS, _TOP)])
@@ -94,21 +105,37 @@ def _cut_long(part: bytes) -> list[bytes]:
         places += range(last + SENTENCE_WORDS, place, SENTENCE_WORDS)
         places.append(place)
         last = place
-    cuts = [0, *(starts[p] for p in places[:-1]), len(part)]
-    return [part[a:b] for a, b in zip(cuts, cuts[1:])]
+    return places[:-1]
+
+
+def _gathered(short: list[bytes]) -> list[bytes]:
+    """Short sentences in a row, several together, parted as the words of a long one."""
+    plain = [b" ".join(p.translate(PLAIN).split()) for p in short]
+    worded = [k for k, p in enumerate(plain) if p]
+    if len(worded) < SHORT_ROW:
+        return short
+    cuts = [0, *(worded[p - 1] + 1 for p in _cuts([plain[k] for k in worded])), len(short)]
+    return [b"".join(short[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 def sentences(text: bytes | None) -> list[bytes]:
     """The sentences of a text, which joined give the text again."""
     text = text or b""
     out: list[bytes] = []
+    short: list[bytes] = []
     wide = not text.isascii() and _WIDE_END.search(text)
     for found in (_WIDE_SENTENCE if wide else _SENTENCE).findall(text):
+        if len(found) <= SHORT_BYTES and len(found.split() if found.isascii() else _words([found])[0]) <= SHORT_WORDS:
+            short.append(found)
+            continue
+        if short:
+            out += _gathered(short) if len(short) >= SHORT_ROW else short
+            short = []
         if len(found) > 2 * SENTENCE_WORDS:
             out += _cut_long(found) if len(found.split()) > SENTENCE_WORDS or not found.isascii() else [found]
         else:
             out.append(found)
-    return out
+    return out + (_gathered(short) if len(short) >= SHORT_ROW else short)
 
 
 def spans(parts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:

@@ -180,6 +180,16 @@ def test_dedup_finds_passages_at_any_offset_of_a_long_sentence(make_docs):
         assert got[k].split()[:1] == [f"own{k}x0"]
 
 
+def test_dedup_finds_passages_of_short_sentences(make_docs):
+    random.seed(8)
+    for size in (1, 2, 3):
+        listed = "".join(" ".join(f"q{random.randrange(900)}" for _ in range(size)) + random.choice(".!\n") + " " for _ in range(60))
+        rows = [(k, "".join(f"own{k}x{i}. " for i in range(k)) + listed) for k in range(1, 8)]
+        got = {i: t for i, t, _ in deduped(make_docs(*rows))}
+        assert got[1] == rows[0][1]
+        assert all(len(got[k].split()) < 15 * size + k for k in range(2, 8))
+
+
 def test_dedup_of_scripts_without_blanks(make_docs):
     random.seed(7)
     signs = [chr(c) for c in range(0x4E00, 0x5E00)]
