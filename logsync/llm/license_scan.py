@@ -154,11 +154,18 @@ KNOWN = (
 )
 
 
+# Wrapped licence texts have lines that begin with the word but are no notice.
+_NOTICE = (
+    r"copyright(?![ \t\r]*(\n|$))"
+    r"(?![ \t]+(notices?|holders?|owners?|licen[sc]es?|laws?|statements?|and|or|in|to)([^a-z]|$))"
+)
+
+
 def canonical(text: Column) -> Column:
     """Words between double blanks, so that neighbours can be replaced alike."""
     low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     kept = F.regexp_replace(
-        low, r"(^|\n)[ \t#*/;%\-]*(copyright|\(c\)|©|all rights reserved)[^\n]*", "\n"
+        low, rf"(^|\n)[ \t#*/;%\-]*({_NOTICE}|\(c\)|©|all rights reserved)[^\n]*", "\n"
     )
     words = F.regexp_replace(kept, r"[^a-z0-9\x{80}-\x{10FFFF}]+", "  ")
     out = F.concat(F.lit(" "), F.trim(words), F.lit(" "))

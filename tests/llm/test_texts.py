@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -102,6 +103,17 @@ def test_licenses(spark, odd_docs):
     assert ls.scan_licenses(docs.where("false"), ls.known_licenses(spark)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    rows = [
+        (name, "Copyright (c) 2021 Some One\n\n" + "\n".join(textwrap.fill(t, width, break_long_words=False, break_on_hyphens=False) for t in text.split("\n")))
+        for name, text in ls.KNOWN
+        for width in range(30, 100, 2)
+    ]
+    assert any("\ncopyright notice" in t for n, t in rows if n == "ISC")
+    out = ls.scan_licenses(spark.createDataFrame(rows, "name string, text string"), ls.known_licenses(spark))
+    assert [r["text"] for r in out.where("NOT name <=> license_id").collect()] == []
+
+
 def test_toxicity_learns_and_leaves_nothing_out(spark, make_docs, odd_docs):
     random.seed(3)
     rows, labels = [], []
