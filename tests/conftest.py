@@ -1,21 +1,17 @@
 from __future__ import annotations
 
 import sys
-from datetime import datetime, timedelta, timezone
-from pathlib import Path
+from datetime import timedelta
 
 import pytest
+from helpers import EPOCH, ROOT, SF_DIR
 
-ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
 from logsync.operators import local_table  # noqa: E402
 from logsync.schemas import HEALTH_SCHEMA, LOG_SCHEMA, OFFSETS_SCHEMA, ROUTE_SCHEMA  # noqa: E402
 from logsync.session import local_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-EPOCH = datetime(2024, 1, 1, tzinfo=timezone.utc)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -70,7 +66,3 @@ def make_health(spark):
         return local_table(spark, rows, HEALTH_SCHEMA)
 
     return make
-
-
-def pairs(df, *columns):
-    return sorted(tuple(row) for row in df.select(*columns).collect())

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import EPOCH, pairs
+from helpers import EPOCH, pairs
 from pyspark.sql import functions as F
 
 from logsync.operators import (

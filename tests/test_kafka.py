@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import Row
 
 from logsync.sources import KafkaLog, offsets_from_json, offsets_json

@@ -3,7 +3,7 @@
 from datetime import datetime, timezone
 
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

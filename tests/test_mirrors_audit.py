@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import functions as F
 
 from logsync.operators import merge_mirrors, reconcile, replication_lag, tag_mirrors, to_message

@@ -1,4 +1,4 @@
-from conftest import pairs
+from helpers import pairs
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

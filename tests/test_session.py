@@ -1,7 +1,7 @@
 import subprocess
 import sys
 
-from conftest import ROOT
+from helpers import ROOT
 
 from logsync.session import run_folder, shared_folder, sized_settings
 

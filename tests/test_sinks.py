@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import functions as F
 
 from logsync.operators import high_watermarks, to_message

@@ -1,5 +1,5 @@
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import functions as F
 
 from logsync.operators import local_table, reconcile, replication_lag, tag_mirrors
