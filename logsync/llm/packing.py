@@ -6,7 +6,8 @@ all that the search needs: a table of ``capacity`` numbers, whatever the corpus.
 It fills sequences around the longest piece left, tries the fillings that no
 other dominates, the least waste first, drops what cannot beat the best packing
 known, and begins with the best-fit packing. A filling found is used as often
-as the counts allow.
+as the counts allow. Memory is bounded by the limits below: one table of counts,
+the path of choices, and a number for each state met.
 
 The pieces are then dealt to the places planned for their length by their
 number among the pieces of that length, counted within each task and added up
@@ -20,6 +21,8 @@ without rows gives none. Other columns are not carried.
 from __future__ import annotations
 
 import bisect
+import itertools
+import random
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,10 +40,13 @@ from logsync.llm.tokens import ID, encoder
 from logsync.session import run_folder
 
 CAPACITY = 2048
-# Fillings looked at around one piece, and steps of the whole search.
-FILLINGS = 400
-BRANCHES = 4
-STEPS = 3_000
+# Limits of the search, which bound its time; none of them drops a piece.
+# Fillings tried around one piece; steps between two of them; states looked at
+# after the first packing; pieces of a filling whose sums are compared.
+BRANCHES = 6
+LOOKS = 2_000
+STEPS = 2_000
+SUBSETS = 8
 # So many plan rows, or counts of tasks, are broadcast: a few dozen bytes each.
 BROADCAST_ROWS = 500_000
 
@@ -83,95 +89,264 @@ def _use(plan: Plan, left: dict, lengths: list, filling: tuple, used: Counter, t
 
 
 def waste_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any packing needs: by tokens, and by pieces over half."""
-    tokens = -(-sum(x * n for x, n in counts.items()) // capacity)
-    return max(tokens, sum(n for x, n in counts.items() if 2 * x > capacity))
+    """Sequences that any packing needs.
 
-
-def fillings(lengths: list[int], left: dict[int, int], capacity: int) -> list[tuple[int, ...]]:
-    """Undominated fillings around the longest piece, the least waste first.
-
-    A filling is dominated if a piece left out fits into the room, or may take
-    the place of a shorter one within it.
+    By tokens; by pieces of which no more than k go together; and by what is
+    left beside the pieces over half when those below some length are set aside.
+    """
+    n = np.zeros(capacity + 2, np.int64)
+    for x, k in counts.items():
+        n[x] = k
+    return _bound(n, capacity)
+
+
+def _bound(n: np.ndarray, capacity: int) -> int:
+    length = np.arange(len(n), dtype=np.int64)
+    # Pieces, and their tokens, of this length or more.
+    pieces, tokens = np.cumsum(n[::-1])[::-1], np.cumsum((n * length)[::-1])[::-1]
+    most = np.arange(1, capacity + 1)
+    together = -(-pieces[capacity // (most + 1) + 1] // most)
+    half = capacity // 2 + 1
+    least = np.arange(1, half)
+    # No piece of ``least`` or more fits beside those longer than this.
+    alone = capacity - least + 1
+    room = (pieces[half] - pieces[alone]) * capacity - (tokens[half] - tokens[alone])
+    beside = tokens[least] - tokens[half] - room
+    over = pieces[half] + np.maximum(0, -(-beside // capacity))
+    return int(max(-(-tokens[0] // capacity), together.max(), over.max(initial=0)))
+
+
+class Completion:
+    """The pieces left, changed and restored in place while the search goes on.
+
+    Besides the counts it keeps, for each length, the sums that pieces up to it
+    can make (any number of each) as bits of one integer, brought up to date
+    where they are asked for.
     """
-    longest = lengths[-1]
-    found: list[tuple[int, tuple[int, ...]]] = []
-    looked = 0
 
-    def grow(chosen: list[int], used: Counter, room: int, top: int) -> None:
-        nonlocal looked
-        if found and (looked >= FILLINGS or found[-1][0] == 0 and len(found) >= BRANCHES):
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        self.capacity = capacity
+        self.left = np.zeros(capacity + 2, np.int64)
+        self.lengths = sorted(x for x, n in counts.items() if n)
+        for x, n in counts.items():
+            self.left[x] = n
+        self.sums = [1] * (capacity + 1)
+        self.clean = 0
+        signs = random.Random(11)
+        self.signs = [signs.getrandbits(128) for _ in range(capacity + 1)]
+        # Of the pieces left; 128 bits, so no two states meet by chance.
+        self.state = sum(self.signs[x] * n for x, n in counts.items()) % (1 << 128)
+
+    def use(self, filling: tuple[int, ...], times: int) -> None:
+        """Takes ``times`` fillings away; puts them back where that is negative."""
+        for x, n in Counter(filling).items():
+            before = int(self.left[x])
+            after = before - n * times
+            self.left[x] = after
+            self.state = (self.state - self.signs[x] * n * times) % (1 << 128)
+            if not before:
+                bisect.insort(self.lengths, x)
+            elif not after:
+                self.lengths.pop(bisect.bisect_left(self.lengths, x))
+            if not before or not after:
+                self.clean = min(self.clean, x - 1)
+
+    def most(self, filling: tuple[int, ...]) -> int:
+        return min(int(self.left[x]) // n for x, n in Counter(filling).items())
+
+    def bound(self) -> int:
+        return _bound(self.left, self.capacity)
+
+    def reach(self, top: int) -> None:
+        """Brings the sums of pieces up to ``top`` up to date."""
+        if self.clean >= top:
             return
-        looked += 1
-        at = bisect.bisect_right(lengths, room, 0, top)
-        grown = False
-        # The first filling is followed to its end, however many pieces it takes.
-        width = BRANCHES if looked < FILLINGS else at
-        for i in range(at - 1, max(-1, at - 1 - width), -1):
-            x = lengths[i]
-            if left[x] > used[x]:
-                grown = True
+        mask = (1 << (self.capacity + 1)) - 1
+        sums = self.sums[self.clean]
+        for x in range(self.clean + 1, top + 1):
+            if self.left[x]:
+                step = x
+                while step <= self.capacity:
+                    sums |= (sums << step) & mask
+                    step *= 2
+            self.sums[x] = sums
+        self.clean = top
+
+    def fillings(self) -> Iterator[tuple[int, ...]]:
+        """Undominated fillings around the longest piece, the least waste first.
+
+        The pieces beside it make each sum that fits in turn, from the room
+        downwards, the longer ones first. A branch is followed only where the
+        pieces of its lengths can make what is missing. Every filling is met
+        unless ``LOOKS`` steps go by without one, which only counts of few
+        pieces can bring about; then the best fit is the last one.
+        """
+        for k in range(BRANCHES):
+            # What is left is as it was when the next one is asked for, so the
+            # ones before are met again and passed over.
+            longest = self.lengths[-1]
+            self.left[longest] -= 1
+            try:
+                found = next(itertools.islice(self._around(longest), k, None), None)
+            finally:
+                self.left[longest] += 1
+            if found is None:
+                return
+            yield found
+
+    def _around(self, longest: int) -> Iterator[tuple[int, ...]]:
+        room = self.capacity - longest
+        top = min(room, longest)
+        self.reach(top)
+        self.looked = 0
+        used: Counter[int] = Counter()
+        for waste in range(room + 1):
+            total = room - waste
+            if not self.sums[top] >> total & 1:
+                continue
+            for rest in self._making(total, top, used):
+                if not self._dominated(rest, used, waste):
+                    yield (longest, *rest)
+                    self.looked = 0
+                if self.looked > LOOKS:
+                    break
+            if self.looked > LOOKS:
+                yield (longest, *self._best_fit(room))
+                return
+            if waste and not total:
+                return
+
+    def _making(self, total: int, top: int, used: Counter) -> Iterator[list[int]]:
+        """Pieces of ``top`` or less in descending order that make ``total``.
+
+        ``used`` holds the pieces of the filling while the caller has it.
+        """
+        chosen: list[int] = []
+        # For each piece chosen, and for the next one: where to look on.
+        at = [bisect.bisect_right(self.lengths, min(top, total)) - 1]
+        while at:
+            self.looked += 1
+            if not total:
+                yield chosen
+                if self.looked > LOOKS:
+                    return
+                at[-1] = -1
+            i = at[-1]
+            while i >= 0:
+                x = self.lengths[i]
+                if self.sums[x] >> total & 1 == 0:
+                    # Pieces up to this one do not make it, so no shorter ones do.
+                    i = -1
+                elif self.left[x] > used[x] and self.sums[x] >> (total - x) & 1:
+                    break
+                else:
+                    i -= 1
+            if i >= 0 and self.looked <= LOOKS:
+                x = self.lengths[i]
+                at[-1] = i - 1
                 used[x] += 1
                 chosen.append(x)
-                grow(chosen, used, room - x, i + 1)
-                chosen.pop()
-                used[x] -= 1
-        if not grown and not dominated(used, room):
-            found.append((room, tuple(chosen)))
-            found.sort()
-
-    def dominated(used: Counter, room: int) -> bool:
-        at = bisect.bisect_right(lengths, room)
-        if any(left[lengths[i]] > used[lengths[i]] for i in range(at - 1, -1, -1)):
-            return True
-        for y, n in used.items():
-            if n and y != longest:
-                low, high = bisect.bisect_right(lengths, y), bisect.bisect_right(lengths, y + room)
-                if any(left[lengths[i]] > used[lengths[i]] for i in range(low, high)):
+                total -= x
+                at.append(min(i, bisect.bisect_right(self.lengths, total) - 1))
+            else:
+                at.pop()
+                if chosen:
+                    x = chosen.pop()
+                    used[x] -= 1
+                    total += x
+
+    def _dominated(self, rest: list[int], used: Counter, waste: int) -> bool:
+        """Whether a piece left out fits, by itself or in place of shorter ones together."""
+        sums = {0}
+        for x in rest[: SUBSETS]:
+            sums |= {s + x for s in sums}
+        alone = set(rest)
+        for s in sums:
+            low = bisect.bisect_right(self.lengths, s) if s in alone or not s else bisect.bisect_left(self.lengths, s)
+            for i in range(low, bisect.bisect_right(self.lengths, s + waste)):
+                x = self.lengths[i]
+                if self.left[x] > used[x]:
                     return True
         return False
 
-    grow([longest], Counter({longest: 1}), capacity - longest, len(lengths))
-    return [filling for _, filling in found[:BRANCHES]]
+    def _best_fit(self, room: int) -> list[int]:
+        out: list[int] = []
+        i = bisect.bisect_right(self.lengths, room)
+        while i:
+            i = min(i, bisect.bisect_right(self.lengths, room))
+            if i:
+                x = self.lengths[i - 1]
+                n = min(int(self.left[x]), room // x)
+                out += [x] * n
+                room -= n * x
+                i -= 1
+        return out
 
 
 def pack(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """As few sequences as the search finds; exact where it ends within ``STEPS``."""
+    """As few sequences as the search finds.
+
+    It goes depth first over one set of counts, changed and restored in place,
+    and keeps the path, the best plan and 16 bytes for each state met. It has
+    found the fewest where they equal ``waste_bound`` or where it ends by itself
+    before ``STEPS`` states after its first packing, with no node cut off at
+    ``BRANCHES`` or ``LOOKS``. ``sequences_needed`` tells which.
+    """
     best = best_fit(counts, capacity)
     fewest = sum(times for _, times in best)
-    bound = waste_bound(counts, capacity)
-    steps = 0
-    # Each entry: what is left, the plan so far, its sequences.
-    open_nodes: list[tuple[dict[int, int], Plan, int]] = [(dict(counts), [], 0)]
-    reached: dict[tuple, int] = {}
-    while open_nodes and fewest > bound and steps < STEPS:
-        left, plan, sequences = open_nodes.pop()
-        steps += 1
-        if not left:
-            if sequences < fewest:
-                best, fewest = plan, sequences
-            continue
-        if sequences + waste_bound(left, capacity) >= fewest:
-            continue
-        lengths = sorted(left)
-        # The same pieces left over, in no more sequences, were looked at already.
-        state = tuple((x, left[x]) for x in lengths)
-        if reached.get(state, sequences + 1) <= sequences:
+    root = waste_bound(counts, capacity)
+    pieces = Completion(counts, capacity)
+    reached: dict[int, int] = {}
+    # The path: the choices that a node still has, and the one that is in use.
+    path: list[tuple[Iterator[tuple[tuple[int, ...], int]], list]] = []
+    sequences, steps, ended = 0, 0, False
+
+    def choices() -> Iterator[tuple[tuple[int, ...], int]]:
+        for filling in pieces.fillings():
+            most = pieces.most(filling)
+            # As often as may be, or once; more often by choosing it again.
+            for times in (most, 1)[: 1 + (most > 1)]:
+                yield filling, times
+
+    def worth() -> bool:
+        if sequences + pieces.bound() >= fewest:
+            return False
+        if reached.get(pieces.state, sequences + 1) <= sequences:
+            return False
+        reached[pieces.state] = sequences
+        return True
+
+    # The first packing is followed to its end whatever the best fit needs.
+    path.append((choices(), []))
+    while path and fewest > root and steps < STEPS:
+        open_choices, in_use = path[-1]
+        if in_use:
+            filling, times = in_use.pop()
+            pieces.use(filling, -times)
+            sequences -= times
+        chosen = next(open_choices, None) if pieces.lengths else None
+        if chosen is None:
+            path.pop()
             continue
-        reached[state] = sequences
-        children = []
-        for filling in fillings(lengths, left, capacity) or [(lengths[-1],)]:
-            used = Counter(filling)
-            most = min(left[x] // n for x, n in used.items())
-            for times in sorted({most, 1}, reverse=True):
-                rest, keys, longer = dict(left), list(lengths), list(plan)
-                _use(longer, rest, keys, filling, used, times)
-                children.append((rest, longer, sequences + times))
-        # The first filling, used as often as may be, is looked at first.
-        open_nodes += children[::-1]
+        filling, times = chosen
+        pieces.use(filling, times)
+        sequences += times
+        in_use.append(chosen)
+        steps += ended
+        if not pieces.lengths:
+            ended = True
+            if sequences < fewest:
+                best, fewest = [own[0] for _, own in path], sequences
+        elif not ended or worth():
+            path.append((choices(), []))
     return best
 
 
+def sequences_needed(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[int, int]:
+    """Sequences of the plan, and how many any plan needs at least."""
+    return sum(times for _, times in pack(counts, capacity)), waste_bound(counts, capacity)
+
+
 def cut_pieces(n: int, capacity: int) -> list[tuple[int, int]]:
     """Start and length of each piece; the first takes what the others leave."""
     first = n % capacity or min(n, capacity)
