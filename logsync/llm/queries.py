@@ -18,6 +18,7 @@ from logsync.llm.text import id_hash
 from logsync.llm.token_files import read_token_files, write_token_files
 from logsync.llm.tokens import tokenizer_path
 from logsync.llm.toxicity import score_toxicity, train_toxicity
+from logsync.llm import whitening as wh
 from logsync.llm.url_filter import Rule, filter_urls
 from logsync.session import run_folder
 
@@ -142,6 +143,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(docs).select("doc_id", "kept_text", "removed_sentences")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the eight largest components, each with unit variance."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = wh.fit_whitening(vectors)
+    # At most one number for each component.
+    shares = F.array(*(F.lit(float(e / model.trace)) for e in model.values)).cast("array<double>")
+    error = F.lit(wh.identity_error(vectors, model))
+    return wh.whiten(vectors, model).select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.element_at(shares, F.col("place") + 1).alias("explained"),
+        error.alias("identity_error"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline``, one after the other."""
     # It imports this module itself.
@@ -161,5 +182,6 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
