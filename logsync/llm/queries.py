@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from logsync.llm import decontamination as dec
 from logsync.llm import fingerprints as fp
+from logsync.llm import whitening as wh
+from logsync.llm.alignment import align_documents
 from logsync.llm.jaccard_join import jaccard_components
 from logsync.llm.language_id import predict_language, train_language_id
 from logsync.llm.license_scan import known_licenses, scan_licenses
@@ -18,7 +20,6 @@ from logsync.llm.text import id_hash
 from logsync.llm.token_files import read_token_files, write_token_files
 from logsync.llm.tokens import tokenizer_path
 from logsync.llm.toxicity import score_toxicity, train_toxicity
-from logsync.llm import whitening as wh
 from logsync.llm.url_filter import Rule, filter_urls
 from logsync.session import run_folder
 
@@ -143,6 +144,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(docs).select("doc_id", "kept_text", "removed_sentences")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over the same bytes, in groups, and how common their links are."""
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable vector on the eight largest components, each with unit variance."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -182,6 +188,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_alignment": op11_alignment,
     "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
