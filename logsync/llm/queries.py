@@ -14,6 +14,7 @@ from logsync.llm.alignment import align_documents
 from logsync.llm.jaccard_join import jaccard_components
 from logsync.llm.language_id import predict_language, train_language_id
 from logsync.llm.license_scan import known_licenses, scan_licenses
+from logsync.llm.maxent_lm import score_language_model
 from logsync.llm.packing import pack_documents
 from logsync.llm.substring_dedup import remove_repeated
 from logsync.llm.text import id_hash
@@ -149,6 +150,13 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all texts, by a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(id_hash(F.col("doc_id")), F.lit(5)) == 1
+    return score_language_model(docs, held_out)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every usable vector on the eight largest components, each with unit variance."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -189,6 +197,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_alignment": op11_alignment,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
