@@ -3,11 +3,12 @@
 Tokenizer A is byte-level BPE, read with a blank in front of the text; B is a
 sentence piece model, which puts that blank there itself. Both go over whole
 texts first. Where a token of A and one of B end at the same byte, and the next
-token of each begins with a blank, the document is cut: these anchors leave
-windows of few ids, mostly one word each. A window's alignment depends on its
-ids alone, so it is worked out once and remembered by the tuple of both; a
-document is the windows in a row. Its bytes are put together from theirs and
-compared with the text, which verifies every anchor at once.
+token of each begins with a blank, the document may be cut; it is cut at those
+of these anchors that the next id of A picks, one in ``EVERY``, so that copies of
+a passage fall into the same windows. A window's alignment depends on its ids
+alone, so it is worked out once and remembered by the tuple of both; a document is
+the windows in a row. The bytes of either side's tokens are put
+together and compared with the text, which verifies every anchor at once.
 
 Links are counted over the corpus by pairs of ids. The pairs met in most
 documents, a bounded number, are sent to all workers; a document's rarer pairs
@@ -23,6 +24,8 @@ without rows gives none. Other columns are not carried.
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,13 +43,23 @@ from logsync.session import run_folder
 
 PIECES = "piece_bpe_32k.model"
 BLANK = "▁"
+# Blanks and what follows them up to the next ones; so many of them are
+# remembered by a worker, so many are new to the model at a time.
+_WORD = re.compile(" +[^ ]*")
+_REMEMBERED = 200_000
+_AT_ONCE = 50_000
 # Windows remembered by a worker, in each of two generations; longer ones are not.
-WINDOWS = 120_000
-WINDOW_IDS = 64
+WINDOWS = 20_000
+WINDOW_IDS = 256
+# One anchor in so many is a cut.
+EVERY = 8
+# Windows of a text that are looked up together.
+CHUNK = 4_000
 # So many of the most frequent pairs are sent to the workers, 16 bytes each.
 SENT_PAIRS = 1 << 20
 # Links that a task adds up before it hands on their counts.
 COUNTED = 4 << 20
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 DOCUMENT = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
@@ -76,6 +89,9 @@ class PieceEncoder:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes = [self._bytes(i) for i in range(self.model.get_piece_size())]
+        # The blank alone, which the model does not put before nothing.
+        self.alone = _ids([self.model.piece_to_id(BLANK)])
+        self.known: dict[str, bytes] = {}
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
@@ -84,7 +100,33 @@ class PieceEncoder:
         return piece.replace(BLANK, " ").encode()
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, ID) for ids in self.model.encode(texts, num_threads=1)]
+        """Ids of whole texts, each with a blank in front already.
+
+        No piece holds a blank behind another sign, so none reaches from one
+        word into the next, and a word met before need not be encoded again.
+        """
+        words = [_WORD.findall(text) if BLANK not in text else None for text in texts]
+        known = self.known
+        new = list(dict.fromkeys([w for own in words if own for w in own if w not in known]))
+        fresh = {}
+        for at in range(0, len(new), _AT_ONCE):
+            part = new[at : at + _AT_ONCE]
+            # The model puts the first blank there itself.
+            fresh.update(zip(part, [_ids(ids) for ids in self.model.encode([w[1:] for w in part], num_threads=1)]))
+        if len(known) + len(fresh) > _REMEMBERED:
+            known = {w: known[w] for own in words if own for w in own if w in known}
+        known.update(fresh)
+        known[" "] = self.alone
+        out = []
+        for text, own in zip(texts, words):
+            ids = _ids(self.model.encode(text[1:])) if own is None else b"".join(map(known.__getitem__, own))
+            out.append(np.frombuffer(ids, ID))
+        self.known = known if len(known) <= _REMEMBERED else {}
+        return out
+
+
+def _ids(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 class Aligner:
@@ -94,44 +136,12 @@ class Aligner:
         self.a, self.b = PlainEncoder(a), PieceEncoder(b)
         self.sizes = [np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b)]
         self.marked = [np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b)]
-        self.windows: dict[tuple[bytes, bytes], tuple] = {}
-        self.older: dict[tuple[bytes, bytes], tuple] = {}
-
-    def window(self, key: tuple[bytes, bytes]) -> tuple[bytes | None, int, str, bytes]:
-        """Bytes, number of groups, groups as text, and links as pairs; no bytes where both differ."""
-        found = self.windows.get(key) or self.older.get(key)
-        if found is None:
-            found = self._aligned(*(np.frombuffer(ids, ID).tolist() for ids in key))
-        if len(key[0]) + len(key[1]) <= 4 * WINDOW_IDS:
-            if len(self.windows) >= WINDOWS:
-                self.older, self.windows = self.windows, {}
-            self.windows[key] = found
-        return found
-
-    def _aligned(self, a: list[int], b: list[int]) -> tuple[bytes | None, int, str, bytes]:
-        text = b"".join([self.a.bytes[x] for x in a])
-        if text != b"".join([self.b.bytes[x] for x in b]):
-            return None, 0, "", b""
-        groups, links = [], []
-        i = j = first_i = first_j = 0
-        end_i, end_j = len(self.a.bytes[a[0]]), len(self.b.bytes[b[0]])
-        while True:
-            links.append(a[i] << 32 | b[j])
-            if end_i == end_j:
-                own = ",".join(map(str, a[first_i : i + 1])), ",".join(map(str, b[first_j : j + 1]))
-                groups.append("|".join(own))
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    return text, len(groups), ";".join(groups), np.array(links, np.int64).tobytes()
-                first_i, first_j = i, j
-                end_i += len(self.a.bytes[a[i]])
-                end_j += len(self.b.bytes[b[j]])
-            elif end_i < end_j:
-                i += 1
-                end_i += len(self.a.bytes[a[i]])
-            else:
-                j += 1
-                end_j += len(self.b.bytes[b[j]])
+        # Ids in decimal with what follows them: the next of the group, the other side, the next group.
+        self.many = max(map(len, self.sizes))
+        self.decimal = [f"{i}{sign}" for sign in ",|;" for i in range(self.many)]
+        # For each window: its number of groups, the groups as text, its links as pairs.
+        self.windows: dict[tuple[bytes, bytes], tuple[int, str, bytes]] = {}
+        self.older: dict[tuple[bytes, bytes], tuple[int, str, bytes]] = {}
 
     def _cuts(self, ids: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
         """Where tokens that begin with a blank begin: bytes before them, and their places."""
@@ -139,41 +149,96 @@ class Aligner:
         at = np.flatnonzero(self.marked[side][ids[1:]]) + 1
         return before[at - 1], at
 
-    def document(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple[list[tuple], str] | None:
-        """The windows of a text and its groups; nothing where its bytes are not those of the tokens."""
-        if not len(a) or not len(b):
-            return None
+    def _verified(self, text: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether the tokens of either side are the bytes of the text."""
+        sides = zip((self.a, self.b), (a, b), self.sizes)
+        return all(len(ids) and sizes[ids].all() and b"".join(map(t.bytes.__getitem__, ids.tolist())) == text for t, ids, sizes in sides)
+
+    def document(self, a: np.ndarray, b: np.ndarray) -> Iterator[list[tuple[int, str, bytes]]]:
+        """The windows of a text whose bytes are those of its tokens, some thousands at a time."""
         ends_a, at_a = self._cuts(a, 0)
         ends_b, at_b = self._cuts(b, 1)
         # Ends rise, so a search finds those that both have.
         place = np.searchsorted(ends_b, ends_a)
-        shared = np.flatnonzero(ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a) if len(ends_b) else place[:0]
+        picked = (a[at_a].astype(np.uint64) * _MIX >> np.uint64(40)) % np.uint64(EVERY) == 0
+        if len(ends_b):
+            picked &= ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a
+        shared = np.flatnonzero(picked) if len(ends_b) else place[:0]
         cut_a = [0, *(4 * at_a[shared]).tolist(), 4 * len(a)]
         cut_b = [0, *(4 * at_b[place[shared]]).tolist(), 4 * len(b)]
-        ids_a, ids_b, known = a.tobytes(), b.tobytes(), self.windows
-        windows = []
-        for i in range(len(cut_a) - 1):
-            key = ids_a[cut_a[i] : cut_a[i + 1]], ids_b[cut_b[i] : cut_b[i + 1]]
-            windows.append(known.get(key) or self.window(key))
-            known = self.windows
-        if any(w[0] is None for w in windows) or b"".join([w[0] for w in windows]) != f" {text}".encode():
-            return None
-        return windows, ";".join([w[2] for w in windows])
+        ids_a, ids_b = a.tobytes(), b.tobytes()
+        for low in range(0, len(cut_a) - 1, CHUNK):
+            high = min(low + CHUNK, len(cut_a) - 1)
+            own_a, own_b = cut_a[low : high + 1], cut_b[low : high + 1]
+            keys = [
+                (ids_a[i:j], ids_b[k:m]) for i, j, k, m in zip(own_a, own_a[1:], own_b, own_b[1:])
+            ]
+            found = list(map(self.windows.get, keys))
+            if None in found:
+                found = self._with_new(keys, found)
+            yield found
+
+    def _with_new(self, keys: list, found: list) -> list[tuple[int, str, bytes]]:
+        """Windows that are not remembered yet are worked out together."""
+        missing = dict.fromkeys([k for k, w in zip(keys, found) if w is None])
+        fresh = {k: w for k in missing if (w := self.older.get(k)) is not None}
+        new = [k for k in missing if k not in fresh]
+        fresh.update(zip(new, self._aligned(new)))
+        if len(self.windows) >= WINDOWS:
+            self.older, self.windows = self.windows, {}
+        self.windows.update((k, w) for k, w in fresh.items() if len(k[0]) + len(k[1]) <= 4 * WINDOW_IDS)
+        return [fresh[k] if w is None else w for k, w in zip(keys, found)]
+
+    def _aligned(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[int, str, bytes]]:
+        """Groups and links of windows, laid one behind the other."""
+        if not keys:
+            return []
+        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), ID).astype(np.int64) for side in (0, 1))
+        sizes = self.sizes[0][a]
+        ends_a, ends_b = np.cumsum(sizes), np.cumsum(self.sizes[1][b])
+        # A token of A overlaps those of B from the first that ends beyond its start.
+        first = np.searchsorted(ends_b, ends_a - sizes, "right")
+        last = np.searchsorted(ends_b, ends_a, "left")
+        links = last - first + 1
+        upto = np.cumsum(links)
+        b_at = np.arange(upto[-1]) - np.repeat(upto - links - first, links)
+        pairs = (np.repeat(a, links) << 32 | b[b_at]).tobytes()
+        closes_a = ends_b[last] == ends_a
+        closes_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+        # Of each group first the tokens of A, then those of B.
+        group_a, group_b = (np.cumsum(c) - c for c in (closes_a, closes_b))
+        through_a, through_b = (np.flatnonzero(c) + 1 for c in (closes_a, closes_b))
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.append(0, through_b)[group_a]] = a + self.many * closes_a
+        order[np.arange(len(b)) + through_a[group_b]] = b + 2 * self.many * closes_b
+        tokens = list(map(self.decimal.__getitem__, order.tolist()))
+        ends = [np.cumsum([len(k[side]) >> 2 for k in keys]) for side in (0, 1)]
+        groups = np.cumsum(closes_a)[ends[0] - 1]
+        counts = np.diff(groups, prepend=0).tolist()
+        cuts = [0, *(ends[0] + ends[1]).tolist()]
+        link_cuts = [0, *(8 * upto[ends[0] - 1]).tolist()]
+        texts = ["".join(tokens[i:j]) for i, j in zip(cuts, cuts[1:])]
+        return list(zip(counts, texts, [pairs[i:j] for i, j in zip(link_cuts, link_cuts[1:])]))
 
     def rows(self, texts: list[str | None]) -> list[tuple]:
         """For each text: tokens of A and of B, groups, links, hash of the groups, pairs with their numbers."""
         given = [i for i, text in enumerate(texts) if text]
         out: list[tuple] = [NOTHING] * len(texts)
-        own = [texts[i] for i in given]
-        of_a = [np.frombuffer(ids, ID)[:-1] for ids in self.a([f" {text}" for text in own])]
+        own = [f" {texts[i]}" for i in given]
+        of_a = [np.frombuffer(ids, ID)[:-1] for ids in self.a(own)]
         for i, text, a, b in zip(given, own, of_a, self.b(own)):
-            found = self.document(text, a, b)
-            if found is not None:
-                windows, groups = found
-                links = np.frombuffer(b"".join([w[3] for w in windows]), np.int64)
-                n_groups = sum([w[1] for w in windows])
-                sha = hashlib.sha256(groups.encode()).hexdigest()
-                out[i] = (len(a), len(b), n_groups, len(links), sha, packed(*np.unique(links, return_counts=True)))
+            if not self._verified(text.encode(), a, b):
+                continue
+            n_groups, links, sha, last = 0, [], hashlib.sha256(), ""
+            for windows in self.document(a, b):
+                n_groups += sum([w[0] for w in windows])
+                links += [w[2] for w in windows]
+                # Each group's text ends with what parts it from the next.
+                groups = last + "".join([w[1] for w in windows])
+                sha.update(groups[:-1].encode())
+                last = groups[-1:]
+            pairs = np.frombuffer(b"".join(links), np.int64)
+            out[i] = (len(a), len(b), n_groups, len(pairs), sha.hexdigest(), packed(*np.unique(pairs, return_counts=True)))
         return out
 
 

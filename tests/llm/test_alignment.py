@@ -143,6 +143,7 @@ def test_memory_of_windows_does_not_change_results(monkeypatch):
     paths = tokenizer_path(), tokenizer_path(al.PIECES)
     whole = al.Aligner(*paths).rows(texts)
     monkeypatch.setattr(al, "WINDOWS", 3)
+    monkeypatch.setattr(al, "CHUNK", 2)
     assert al.Aligner(*paths).rows(texts) == whole
 
 
