@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .intervals import offset_bitmap, stretch_of
 from .lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table
 from .numbering import slice_of
-from .offsets import offset_bitmap, stretch_of
 
 COORDINATES = ["topic", "partition", "offset"]
 STRETCH = 32_768

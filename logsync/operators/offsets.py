@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .intervals import PARTITION_KEYS, runs_of, stretches_of
 from .lookup import (
     BROADCAST_ROWS,
     LITERAL_ROWS,
@@ -17,8 +18,6 @@ from .lookup import (
     refuse_repeats,
 )
 
-PARTITION_KEYS = ["topic", "partition"]
-
 
 def high_watermarks(log: DataFrame) -> DataFrame:
     """End offset (last offset + 1) of every topic-partition."""
@@ -192,53 +191,28 @@ def reached_end(remaining: DataFrame) -> DataFrame:
     )
 
 
-def stretch_of(offset: str) -> Column:
-    """Number of the stretch of 32,768 offsets that ``offset`` falls into."""
-    return F.bitmap_bucket_number(F.col(offset) + 1)
-
-
-def offset_bitmap(offset: str) -> Column:
-    """Aggregate: which offsets of a stretch occur, however often."""
-    return F.bitmap_construct_agg(F.bitmap_bit_position(F.col(offset) + 1))
-
-
 def gap_report(log: DataFrame) -> DataFrame:
     """Ranges of missing offsets inside each partition, bounds included.
 
-    A bitmap per stretch of 32,768 offsets, combined map-side, tells exactly
-    which stretches are incomplete, whatever repeats the log holds. Only rows
-    of those are read again and sorted, one stretch at a time.
+    A bitmap per stretch of 32,768 offsets, combined map-side, tells which
+    stretches are incomplete, whatever repeats the log holds, and which offsets
+    they lack. The log is read once, and none of its rows is shuffled.
     """
-    keys = [*PARTITION_KEYS, "_stretch"]
-    thin = log.select(
-        *PARTITION_KEYS,
-        "offset",
-        stretch_of("offset").alias("_stretch"),
-    )
-    stretches = thin.groupBy(*keys).agg(
-        F.min("offset").alias("_low"),
-        F.max("offset").alias("_high"),
-        F.bitmap_count(offset_bitmap("offset")).alias("_seen"),
-    )
+    stretches = stretches_of(log)
+    by_stretch = W.partitionBy(*PARTITION_KEYS).orderBy("_stretch")
+    linked = stretches.withColumn("_next", F.lead("_low").over(by_stretch))
 
-    incomplete = stretches.where(F.col("_seen") < F.col("_high") - F.col("_low") + 1)
-    following = F.lead("offset").over(W.partitionBy(*keys).orderBy("offset"))
+    incomplete = linked.where(F.col("_seen") < F.col("_high") - F.col("_low") + 1)
+    bounds = incomplete.select(*PARTITION_KEYS, "_stretch", "_low", "_high")
     inside = (
-        lookup_join(thin, incomplete.select(*keys), keys, "left_semi")
-        .dropDuplicates([*keys, "offset"])
-        .withColumn("_next", following)
+        runs_of(incomplete)
+        .where(~F.col("present"))
+        .join(bounds, [*PARTITION_KEYS, "_stretch"])
+        .where((F.col("low") > F.col("_low")) & (F.col("high") <= F.col("_high")))
     )
-
-    by_stretch = W.partitionBy(*PARTITION_KEYS).orderBy("_stretch")
-    between = stretches.select(
-        *PARTITION_KEYS,
-        F.col("_high").alias("offset"),
-        F.lead("_low").over(by_stretch).alias("_next"),
+    between = linked.where(F.col("_next") > F.col("_high") + 1).select(
+        *PARTITION_KEYS, (F.col("_high") + 1).alias("low"), F.col("_next").alias("high")
     )
-
-    steps = inside.select(*PARTITION_KEYS, "offset", "_next").unionByName(between)
-    return steps.where(F.col("_next") > F.col("offset") + 1).select(
-        *PARTITION_KEYS,
-        (F.col("offset") + 1).alias("gap_start"),
-        (F.col("_next") - 1).alias("gap_end"),
+    return inside.select(*PARTITION_KEYS, "low", "high").unionByName(between).select(
+        *PARTITION_KEYS, F.col("low").alias("gap_start"), (F.col("high") - 1).alias("gap_end")
     )

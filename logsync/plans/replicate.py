@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.filters import Filter, filter_messages
+from ..operators.intervals import INTERVAL_SCHEMA, outside_intervals
 from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
 from ..operators.offsets import after_offsets
 from ..operators.routing import to_message
 from ..schemas import OFFSETS_SCHEMA
+from ..session import run_folder
 from ..sinks.targets import TableTarget, Target
-from ..sinks.write import write_log
 from ..sources.read import LogSource, end_offsets, read_log
 
 
@@ -62,50 +64,77 @@ def relay_bounded(
 ) -> int:
     """Copy from where the target stands up to the ends seen now, and stop.
 
-    Start and stop bounds both reach the scan. ``max_per_round`` copies at most
-    that many offsets of a partition at a time, one batch after the other: a
-    target that takes a partition from a single task, in order, is never handed
-    an unbounded one, and a job that is lost resumes at its last round. By
-    default the target decides. Returns the number of batches written.
+    Start and stop bounds both reach the scan. A target that tells which offsets
+    it has dealt with gets those it lacks, holes behind others included.
+    ``max_per_round`` copies at most that many offsets of a partition at a time,
+    one batch after the other: a target that takes a partition from a single
+    task, in order, is never handed an unbounded one, and a job that is lost
+    resumes at its last round. By default the target decides. Returns the number
+    of batches written.
     """
     topics = source_topics(routes)
     start = captured(spark, target.high_watermarks(spark))
     ends = captured(spark, end_offsets(spark, source, topics))
+    done = _done_beyond(target, start) if isinstance(target, TableTarget) else None
     if max_per_round is None:
         max_per_round = getattr(target, "max_per_round", None)
-    rounds = list(_rounds(spark, start, ends, missing, max_per_round))
-    for number, (low, high) in enumerate(rounds):
-        log = read_log(spark, source, topics, low, high, "skip")
+    batches = 0
+    for low, high in rounds(start, ends, missing, max_per_round):
+        log = read_log(spark, source, topics, _offsets(spark, low), _offsets(spark, high), "skip")
+        if done is not None:
+            log = outside_intervals(log, done)
         messages = to_message(filter_messages(log, filters or {}), routes, mode, partitions)
         if isinstance(target, TableTarget):
-            write_log(messages, target)
+            judged = [(*pair, low[pair], high[pair]) for pair in low]
+            target.write_batch(messages, target.next_batch_id(spark), local_table(spark, judged, INTERVAL_SCHEMA))
         else:
-            target.write_batch(messages, number)
-    return len(rounds)
-
-
-def _rounds(
-    spark: SparkSession, start: DataFrame, ends: DataFrame, missing: str, width: int | None
-) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Start and end offsets of each round, for the partitions it advances."""
+            target.write_batch(messages, batches)
+        batches += 1
+    return batches
+
+
+def _done_beyond(target: TableTarget, start: DataFrame) -> DataFrame | None:
+    """Intervals that the target has dealt with behind its first hole; nothing where it has none."""
+    spark = start.sparkSession
+    behind = (
+        target.covered(spark)
+        .join(F.broadcast(start), ["topic", "partition"])
+        .where(F.col("low") > F.col("next_offset"))
+        .select(*INTERVAL_SCHEMA.fieldNames())
+    )
+    rows = bounded_rows(behind, BROADCAST_ROWS)
+    if rows is not None:
+        return local_table(spark, rows, INTERVAL_SCHEMA) if rows else None
+    # As they are now: snapshots go when newer ones come.
+    path = run_folder(spark, "dealt-with")
+    behind.write.parquet(path)
+    return spark.read.schema(INTERVAL_SCHEMA).parquet(path)
+
+
+def _offsets(spark: SparkSession, offsets: Mapping[tuple[str, int], int]) -> DataFrame:
+    return local_table(spark, [(*pair, offset) for pair, offset in offsets.items()], OFFSETS_SCHEMA)
+
+
+def rounds(
+    start: DataFrame, ends: DataFrame, missing: str, width: int | None
+) -> Iterator[tuple[dict[tuple[str, int], int], dict[tuple[str, int], int]]]:
+    """Start and end offsets of each round, for the partitions it advances.
+
+    The longest partition takes ``width`` offsets a round and so decides how
+    many rounds there are; the others are spread over all of them by what they
+    have left, so rounds are alike and end together. Only the round at hand is kept.
+    """
     first = {(row.topic, row.partition): row.next_offset for row in start.collect()}
-    spans = []
+    at: dict[tuple[str, int], int] = {}
+    last: dict[tuple[str, int], int] = {}
     for row in ends.collect():
-        key = (row.topic, row.partition)
-        low = first.get(key, 0 if missing == "start" else row.next_offset)
+        pair = (row.topic, row.partition)
+        low = first.get(pair, 0 if missing == "start" else row.next_offset)
         if low < row.next_offset:
-            spans.append((*key, low, row.next_offset))
-    while spans:
-        step = [
-            (topic, partition, low, high if width is None else min(high, low + width))
-            for topic, partition, low, high in spans
-        ]
-        yield (
-            local_table(spark, [(t, p, low) for t, p, low, _ in step], OFFSETS_SCHEMA),
-            local_table(spark, [(t, p, high) for t, p, _, high in step], OFFSETS_SCHEMA),
-        )
-        spans = [
-            (topic, partition, done, high)
-            for (topic, partition, _, high), (_, _, _, done) in zip(spans, step)
-            if done < high
-        ]
+            at[pair], last[pair] = low, row.next_offset
+    while at:
+        most = max(last[pair] - low for pair, low in at.items())
+        left = 1 if width is None else -(-most // width)
+        upto = {pair: low + -(-(last[pair] - low) // left) for pair, low in at.items()}
+        yield at, upto
+        at = {pair: offset for pair, offset in upto.items() if offset < last[pair]}

@@ -101,6 +101,16 @@ PROGRESS_SCHEMA = T.StructType(
     ]
 )
 
+# Of each batch of a copy; sketches of value sizes and of lag can be merged.
+METRICS_SCHEMA = T.StructType(
+    PROGRESS_SCHEMA.fields
+    + [
+        T.StructField("denied", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("size_sketch", T.BinaryType()),
+        T.StructField("lag_ms_sketch", T.BinaryType()),
+    ]
+)
+
 LOG_COLUMNS = LOG_SCHEMA.fieldNames()
 MESSAGE_COLUMNS = MESSAGE_SCHEMA.fieldNames()
 TARGET_LOG_COLUMNS = TARGET_LOG_SCHEMA.fieldNames()

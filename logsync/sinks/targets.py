@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import reduce
 from typing import Protocol
 
@@ -13,17 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.headers import append_headers, single_header
-from ..operators.lookup import LITERAL_ROWS, bounded_rows, local_table, lookup_join
+from ..operators.lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table, lookup_join
 from ..operators.numbering import SLICE_WIDTH, assign_target_offsets
 from ..schemas import (
     MESSAGE_COLUMNS,
     MESSAGE_SCHEMA,
+    METRICS_SCHEMA,
     OFFSETS_SCHEMA,
     SOURCE_COORDINATES,
     TARGET_LOG_COLUMNS,
     TARGET_LOG_SCHEMA,
 )
 from .order import order_for_write
+from .snapshots import PAIR, SNAPSHOT_SCHEMA, WRITER, as_covered, changes, commit, covered_of, read_snapshot
 
 # Headers that carry source coordinates where a target has no
 # columns for them.
@@ -35,16 +39,14 @@ SOURCE_OFFSET_HEADER = "_so"
 # one task, in order, is handed at a time.
 ORDERED_ROWS = 1_000_000
 
-TABLE_PROGRESS_SCHEMA = T.StructType(
-    OFFSETS_SCHEMA.fields
-    + [
-        T.StructField("source_topic", T.StringType()),
-        T.StructField("source_partition", T.IntegerType()),
-        T.StructField("source_next_offset", T.LongType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("batch", T.StringType()),
+_BATCH_SCHEMA = T.StructType(
+    [
+        T.StructField("writer", T.StringType()),
+        T.StructField("low", T.LongType()),
+        T.StructField("high", T.LongType()),
     ]
 )
+_ATTEMPT_SCHEMA = T.StructType([T.StructField("began", T.TimestampType())])
 
 
 class Target(Protocol):
@@ -63,13 +65,13 @@ class Target(Protocol):
 
 @dataclass(frozen=True)
 class TableTarget:
-    """A Parquet table log with a small table of progress beside it.
+    """A Parquet table log with snapshots of its progress beside it.
 
-    A batch is written to a folder of its own and counts once its progress rows
-    are there, so a batch that failed half-way is invisible and is replaced by
-    its retry, and a batch that arrives twice is written once. Progress rows
-    (one per batch and partition pair) also spare a scan of the log to find its
-    end offsets. ``writer`` names the job, as batch ids are only unique within
+    A batch is written to a folder of its own and counts once a snapshot has its
+    id, so a batch that failed half-way is invisible and is replaced by its
+    retry, and a batch that arrives twice is written once. Snapshots also spare
+    a scan of the log to find its end offsets, and tell which source offsets were
+    dealt with. ``writer`` names the job, as batch ids are only unique within
     one. One job writes at a time.
 
     Numbering goes over a batch twice, which asks for filters that answer the
@@ -83,23 +85,48 @@ class TableTarget:
     slice_width: int = SLICE_WIDTH
     stage: bool = False
 
-    def _label(self, batch_id: int) -> str:
-        return f"{self.writer}-{batch_id:012d}"
-
-    def progress(self, spark: SparkSession) -> DataFrame:
-        return read_or_empty(spark, f"{self.path}/progress", TABLE_PROGRESS_SCHEMA)
-
-    def write_batch(self, messages: DataFrame, batch_id: int) -> None:
-        spark, label = messages.sparkSession, self._label(batch_id)
-        if not self.progress(spark).where(F.col("batch") == label).isEmpty():
+    def _label(self, batch_id: int, writer: str | None = None) -> str:
+        return f"{writer or self.writer}-{batch_id:012d}"
+
+    def snapshot(self, spark: SparkSession) -> DataFrame:
+        """The newest snapshot, at the driver where it is small."""
+        state = read_snapshot(spark, f"{self.path}/progress")
+        rows = bounded_rows(state, BROADCAST_ROWS)
+        return state if rows is None else local_table(spark, rows, SNAPSHOT_SCHEMA)
+
+    def _batches(self, snapshot: DataFrame) -> DataFrame:
+        """Batch ids committed by each writer, as intervals."""
+        return snapshot.where(F.col("kind") == WRITER).select("writer", "low", "high")
+
+    def write_batch(
+        self,
+        messages: DataFrame,
+        batch_id: int,
+        covered: DataFrame | None = None,
+        counts: DataFrame | None = None,
+    ) -> None:
+        """Write a batch unless it is there.
+
+        ``covered`` lists the source offsets that the batch has dealt with,
+        denied ones included, as intervals (topic, partition, low, high). Without
+        it a batch has dealt with all up to its highest offset. ``counts`` is one
+        row of METRICS_SCHEMA but for the columns that are known here; it is
+        written beside the batch and counts when the batch does.
+        """
+        spark, label, began = messages.sparkSession, self._label(batch_id), time.time()
+        own = (F.col("writer") == self.writer) & (F.col("low") <= batch_id) & (F.col("high") > batch_id)
+        state = self.snapshot(spark)
+        if not self._batches(state).where(own).isEmpty():
             return
+        if counts is not None:
+            # A row for each try, so that tries which failed are known.
+            tried = local_table(spark, [(datetime.now(timezone.utc),)], _ATTEMPT_SCHEMA)
+            tried.coalesce(1).write.mode("append").parquet(f"{self.path}/attempts/batch={label}")
         if self.stage:
             staged = f"{self.path}/staged/batch={label}"
             messages.select(*MESSAGE_COLUMNS).write.mode("overwrite").parquet(staged)
             messages = spark.read.schema(MESSAGE_SCHEMA).parquet(staged)
-        numbered = assign_target_offsets(
-            messages, self.end_offsets(spark), width=self.slice_width
-        )
+        numbered = assign_target_offsets(messages, _end_offsets(state), width=self.slice_width)
         folder = f"{self.path}/log/batch={label}"
         # Numbering has brought whole slices together, so sorting needs no
         # further shuffle for files to cover narrow offset ranges.
@@ -114,59 +141,88 @@ class TableTarget:
         )
         # Thin columns of what was just written, so both always agree.
         written = spark.read.schema(TARGET_LOG_SCHEMA).parquet(folder)
-        (
-            written.groupBy("topic", "partition", "source_topic", "source_partition")
-            .agg(
-                (F.max("offset") + 1).alias("next_offset"),
-                (F.max("source_offset") + 1).alias("source_next_offset"),
-                F.count(F.lit(1)).alias("rows"),
-            )
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(f"{self.path}/progress/batch={label}")
+        pairs = written.groupBy("topic", "partition", "source_topic", "source_partition").agg(
+            (F.max("offset") + 1).alias("next_offset"),
+            (F.max("source_offset") + 1).alias("source_next_offset"),
+            F.count(F.lit(1)).alias("rows"),
         )
+        if covered is None:
+            covered = pairs.where("source_topic IS NOT NULL AND source_partition IS NOT NULL").select(
+                F.col("source_topic").alias("topic"),
+                F.col("source_partition").alias("partition"),
+                F.lit(0).cast("long").alias("low"),
+                F.col("source_next_offset").alias("high"),
+            )
+        if counts is not None:
+            self._write_metrics(counts, batch_id, began)
+        done = local_table(spark, [(self.writer, batch_id, batch_id + 1)], _BATCH_SCHEMA)
+        changed = changes(pairs, PAIR).unionByName(as_covered(covered)).unionByName(changes(done, WRITER))
+        commit(spark, f"{self.path}/progress", changed)
+
+    def _write_metrics(self, counts: DataFrame, batch_id: int, began: float) -> None:
+        spark, label = counts.sparkSession, self._label(batch_id)
+        tries = spark.read.schema(_ATTEMPT_SCHEMA).parquet(f"{self.path}/attempts/batch={label}").count()
+        known = {
+            "batch_id": F.lit(batch_id).cast("long"),
+            "started": F.timestamp_millis(F.lit(int(began * 1000))),
+            "duration_ms": F.lit(int((time.time() - began) * 1000)).cast("long"),
+            "retries": F.lit(tries - 1).cast("int"),
+        }
+        row = counts.withColumns(known).select(*METRICS_SCHEMA.fieldNames())
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/metrics/batch={label}")
+
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """What each batch that counted reported, one row of METRICS_SCHEMA for each."""
+        schema = T.StructType([*METRICS_SCHEMA.fields, T.StructField("batch", T.StringType())])
+        table = read_or_empty(spark, f"{self.path}/metrics", schema)
+        return self._counted(table).select(*METRICS_SCHEMA.fieldNames())
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Records of all batches that counted."""
         schema = T.StructType([*TARGET_LOG_SCHEMA.fields, T.StructField("batch", T.StringType())])
-        log = read_or_empty(spark, f"{self.path}/log", schema)
-        batches = self.progress(spark).select("batch").distinct()
+        return self._counted(read_or_empty(spark, f"{self.path}/log", schema)).select(*TARGET_LOG_COLUMNS)
+
+    def _counted(self, table: DataFrame) -> DataFrame:
+        """Rows of a table laid out by batch whose batch is committed."""
+        batches = self._batches(self.snapshot(table.sparkSession))
         rows = bounded_rows(batches, LITERAL_ROWS)
         if rows is not None:
-            log = log.where(F.col("batch").isin([row.batch for row in rows]))
-        else:
-            log = lookup_join(log, batches, ["batch"], "left_semi")
-        return log.select(*TARGET_LOG_COLUMNS)
+            # Labels of a writer sort as its batch ids do.
+            counted = [
+                F.col("batch").between(self._label(r.low, r.writer), self._label(r.high - 1, r.writer)) for r in rows
+            ]
+            return table.where(reduce(lambda a, b: a | b, counted, F.lit(False)))
+        number = F.regexp_extract("batch", "([0-9]+)$", 1).cast("long")
+        of_writers = lookup_join(
+            table.withColumn("writer", F.regexp_replace("batch", "-[0-9]+$", "")), batches, ["writer"], spread="batch"
+        )
+        return of_writers.where((number >= F.col("low")) & (number < F.col("high")))
 
     def end_offsets(self, spark: SparkSession) -> DataFrame:
         """The table's own end offsets."""
-        return (
-            self.progress(spark)
-            .groupBy("topic", "partition")
-            .agg(F.max("next_offset").alias("next_offset"))
-        )
+        return _end_offsets(self.snapshot(spark))
+
+    def covered(self, spark: SparkSession) -> DataFrame:
+        """Source offsets that were dealt with, as intervals of each partition."""
+        return covered_of(self.snapshot(spark))
 
     def high_watermarks(self, spark: SparkSession) -> DataFrame:
+        """For each source partition the first offset that was not dealt with."""
         return (
-            self.progress(spark)
-            .groupBy(
-                F.col("source_topic").alias("topic"),
-                F.col("source_partition").alias("partition"),
-            )
-            .agg(F.max("source_next_offset").alias("next_offset"))
+            self.covered(spark)
+            .groupBy("topic", "partition")
+            .agg(F.coalesce(F.max(F.when(F.col("low") <= 0, F.col("high"))), F.lit(0)).alias("next_offset"))
         )
 
     def next_batch_id(self, spark: SparkSession) -> int:
         """First batch id this writer has not completed."""
-        prefix = f"{self.writer}-"
-        last = (
-            self.progress(spark)
-            .where(F.col("batch").startswith(prefix))
-            .agg(F.max(F.expr(f"substring(batch, {len(prefix) + 1})").cast("bigint")).alias("id"))
-            .first()
-            .id
-        )
-        return 0 if last is None else last + 1
+        own = self._batches(self.snapshot(spark)).where(F.col("writer") == self.writer)
+        return own.agg(F.coalesce(F.max("high"), F.lit(0)).alias("id")).first().id
+
+
+def _end_offsets(snapshot: DataFrame) -> DataFrame:
+    ends = F.max("next_offset").alias("next_offset")
+    return snapshot.where(F.col("kind") == PAIR).groupBy("topic", "partition").agg(ends)
 
 
 @dataclass(frozen=True)

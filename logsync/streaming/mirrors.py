@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.intervals import offset_intervals, outside_intervals
 from ..operators.mirrors import COORDINATES, merge_mirrors
 from ..operators.routing import to_message
-from ..sinks.targets import TableTarget, missing_from
+from ..sinks.targets import TableTarget
 from ..sinks.write import write_log_stream
 
 
@@ -33,17 +36,19 @@ def merge_mirrors_stream(
     """Copy all mirrors at once, every coordinate a single time.
 
     ``mirrors`` is a stream with ``node_id``. Copies inside a batch are merged,
-    and what the target holds already is left out; no state is kept and mirrors
-    may lag as far as they like. ``delay`` thins the stream beforehand.
+    and what the target has dealt with, which it keeps as intervals of offsets, is
+    left out; no other state is kept and mirrors may lag as far as they like. ``delay`` thins the stream beforehand.
     """
     if delay is not None:
         mirrors = dedupe_mirrors(mirrors, delay)
 
     class Merged:
         def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-            once = merge_mirrors(batch, prefer).drop("node_id")
-            messages = to_message(once, routes)
-            target.write_batch(missing_from(messages, target.read(batch.sparkSession)), batch_id)
+            # What was dealt with goes before copies are compared, without a look at the target's log.
+            fresh = outside_intervals(batch, target.covered(batch.sparkSession))
+            messages = to_message(merge_mirrors(fresh, prefer).drop("node_id"), routes)
+            # Written down once, as numbering goes over the merged batch twice.
+            replace(target, stage=True).write_batch(messages, batch_id, offset_intervals(batch))
 
         def high_watermarks(self, spark):
             return target.high_watermarks(spark)

@@ -53,6 +53,63 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
     return local_table(spark, [progress_row(r) for r in reports], PROGRESS_SCHEMA)
 
 
+def batch_metrics(judged: DataFrame) -> DataFrame:
+    """What a batch of records with ``denied_by`` adds up to: one row.
+
+    Sketches of the sizes of values and of the time that copied records waited
+    can be merged over batches; each takes a few kilobytes.
+    """
+    denied = F.col("denied_by").isNotNull()
+    waited = F.unix_millis(F.current_timestamp()) - F.unix_millis("timestamp")
+    counts = judged.groupBy("denied_by").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.kll_sketch_agg_bigint(F.coalesce(F.length("value"), F.lit(0)).cast("bigint")).alias("sizes"),
+        F.kll_sketch_agg_bigint(F.coalesce(waited, F.lit(0))).alias("lags"),
+    )
+    # A row for each filter at most.
+    listed = F.collect_list(F.when(denied, F.struct("denied_by", "n")))
+    return counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(~denied, F.col("n"))), F.lit(0)).alias("relayed"),
+        F.coalesce(F.sum(F.when(denied, F.col("n"))), F.lit(0)).alias("filtered"),
+        F.map_from_entries(listed).alias("denied"),
+        F.kll_merge_agg_bigint(F.when(~denied, F.col("sizes"))).alias("size_sketch"),
+        F.kll_merge_agg_bigint(F.when(~denied, F.col("lags"))).alias("lag_ms_sketch"),
+    )
+
+
+def denied_totals(metrics: DataFrame) -> DataFrame:
+    """Denied records per filter over all batches."""
+    return (
+        metrics.select(F.explode("denied").alias("filter", "n"))
+        .groupBy("filter")
+        .agg(F.sum("n").alias("n"))
+    )
+
+
+def metrics_over_time(metrics: DataFrame, window: str) -> DataFrame:
+    """Counts and quantiles of value sizes, lag and durations for each stretch of time.
+
+    Sketches of the batches are merged; quantiles are near, not exact, once a
+    stretch holds more than some hundred records.
+    """
+    grouped = metrics.groupBy(F.window("started", window).alias("window")).agg(
+        F.count(F.lit(1)).alias("batches"),
+        *(F.sum(c).alias(c) for c in ("rows", "relayed", "filtered", "retries")),
+        F.kll_sketch_agg_bigint("duration_ms").alias("duration_ms"),
+        F.kll_merge_agg_bigint("size_sketch").alias("size"),
+        F.kll_merge_agg_bigint("lag_ms_sketch").alias("lag_ms"),
+    )
+    quantiles = [
+        F.when(
+            F.kll_sketch_get_n_bigint(sketch) > 0, F.kll_sketch_get_quantile_bigint(sketch, F.lit(share / 100))
+        ).alias(f"p{share}_{sketch}")
+        for sketch in ("duration_ms", "size", "lag_ms")
+        for share in (50, 95)
+    ]
+    return grouped.select("window.start", "batches", "rows", "relayed", "filtered", "retries", *quantiles)
+
+
 class ProgressListener(StreamingQueryListener):
     """Appends a row to the table at ``path`` after every batch of a query."""
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import Filter, attribute_filters
+from ..operators.intervals import offset_intervals
 from ..operators.routing import to_message, validate_routes
-from ..plans.replicate import source_topics
-from ..sinks.targets import Target
+from ..plans.replicate import captured, source_topics
+from ..sinks.targets import TableTarget, Target
 from ..sinks.write import write_log_stream
 from ..sources.read import LogSource, read_log_stream
-from .progress import observe_relay
+from .progress import batch_metrics, observe_relay
 
 
 def check_routes(routes: DataFrame, catalog: DataFrame) -> None:
@@ -54,9 +55,28 @@ def relay_stream(
     log = read_log_stream(spark, source, source_topics(routes), start, max_per_trigger)
     judged = attribute_filters(log, filters or {})
     counted = observe_relay(judged, list(filters or {}))
-    allowed = counted.where(F.col("denied_by").isNull()).drop("denied_by")
-    messages = to_message(allowed, routes, mode, partitions)
-    return write_log_stream(messages, target, checkpoint, trigger, name)
+    skipped = None if start is None else captured(spark, start)
+
+    class Judged:
+        """Takes records with what the filters said, so that the target knows all that was dealt with."""
+
+        def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+            allowed = batch.where(F.col("denied_by").isNull()).drop("denied_by")
+            messages = to_message(allowed, routes, mode, partitions)
+            if not isinstance(target, TableTarget):
+                target.write_batch(messages, batch_id)
+                return
+            covered = offset_intervals(batch)
+            if skipped is not None:
+                # What the caller left out on purpose is no hole.
+                before = skipped.withColumns({"low": F.lit(0).cast("long"), "high": F.col("next_offset")})
+                covered = covered.unionByName(before.select(*covered.columns))
+            target.write_batch(messages, batch_id, covered, batch_metrics(batch))
+
+        def high_watermarks(self, spark: SparkSession) -> DataFrame:
+            return target.high_watermarks(spark)
+
+    return write_log_stream(counted, Judged(), checkpoint, trigger, name)
 
 
 def relay_until_end(
