@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from ..operators.filters import Filter
 from ..operators.health import active_history
 from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
-from ..schemas import HEALTH_SCHEMA
+from ..schemas import HEALTH_SCHEMA, OFFSETS_SCHEMA
 from ..sinks.targets import Target
 from ..sources.read import LogSource, end_offsets
 from .replicate import captured, relay_bounded, source_topics
+from .tail import progress_of
 
 # A source that cannot be read: a plan that fails, or a job that does.
 UNREADABLE = (PySparkException, Py4JJavaError)
@@ -82,7 +83,8 @@ def relay_with_failover(
     active node per topic for each round.
     """
     topics = source_topics(routes)
-    state = _initial_state(spark, topics, captured(spark, target.high_watermarks(spark)))
+    done = progress_of(spark, target, routes, _first_ends(spark, sources, topics))
+    state = _initial_state(spark, topics, captured(spark, done))
     history: list[dict[str, int | None]] = []
     idle = 0
     for number in range(rounds):
@@ -126,6 +128,16 @@ def relay_with_failover(
     return history
 
 
+def _first_ends(spark: SparkSession, sources: Sequence[LogSource], topics: Sequence[str]) -> DataFrame:
+    """End offsets of the first source that can be read; nothing where none can."""
+    for source in sources:
+        try:
+            return local_table(spark, end_offsets(spark, source, topics).collect(), OFFSETS_SCHEMA)
+        except UNREADABLE:
+            continue
+    return local_table(spark, [], OFFSETS_SCHEMA)
+
+
 def _readable(spark: SparkSession, source: LogSource, topics: Sequence[str]) -> bool:
     try:
         end_offsets(spark, source, topics).collect()

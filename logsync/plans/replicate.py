@@ -11,11 +11,12 @@ from ..operators.filters import Filter, filter_messages
 from ..operators.intervals import INTERVAL_SCHEMA, outside_intervals
 from ..operators.lookup import BROADCAST_ROWS, bounded_rows, local_table
 from ..operators.offsets import after_offsets
-from ..operators.routing import to_message
+from ..operators.routing import to_message, validate_routes
 from ..schemas import OFFSETS_SCHEMA
 from ..session import run_folder
 from ..sinks.targets import TableTarget, Target
 from ..sources.read import LogSource, end_offsets, read_log
+from .tail import progress_of
 
 
 def outstanding_messages(
@@ -43,6 +44,24 @@ def source_topics(routes: DataFrame) -> list[str]:
     return [row.source_topic for row in rows]
 
 
+def check_routes(routes: DataFrame, catalog: DataFrame) -> None:
+    """Refuse to start when a target topic or pinned partition is missing."""
+    problems = validate_routes(routes, catalog).limit(20).collect()
+    if problems:
+        listed = "; ".join(
+            f"{p.source_topic} -> {p.target_topic}:{p.target_partition} ({p.reason})"
+            for p in problems
+        )
+        raise ValueError(f"routes without a place to go: {listed}")
+
+
+def refuse_unplaced(spark: SparkSession, target: Target, routes: DataFrame) -> None:
+    """``check_routes`` by what the target says that it has, if it does."""
+    known = target.catalog(spark) if hasattr(target, "catalog") else None
+    if known is not None:
+        check_routes(routes, known)
+
+
 def captured(spark: SparkSession, offsets: DataFrame) -> DataFrame:
     """The offsets as they are now, independent of later writes."""
     rows = bounded_rows(offsets.select(*OFFSETS_SCHEMA.fieldNames()), BROADCAST_ROWS)
@@ -73,8 +92,9 @@ def relay_bounded(
     of batches written.
     """
     topics = source_topics(routes)
-    start = captured(spark, target.high_watermarks(spark))
+    refuse_unplaced(spark, target, routes)
     ends = captured(spark, end_offsets(spark, source, topics))
+    start = captured(spark, progress_of(spark, target, routes, ends))
     done = _done_beyond(target, start) if isinstance(target, TableTarget) else None
     if max_per_round is None:
         max_per_round = getattr(target, "max_per_round", None)

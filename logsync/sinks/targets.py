@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
-from typing import Protocol
+from typing import Any, Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from ..functions.headers import append_headers, single_header
 from ..operators.lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table, lookup_join
 from ..operators.numbering import SLICE_WIDTH, assign_target_offsets
 from ..schemas import (
+    CATALOG_SCHEMA,
     MESSAGE_COLUMNS,
     MESSAGE_SCHEMA,
     METRICS_SCHEMA,
@@ -198,6 +199,16 @@ class TableTarget:
         )
         return of_writers.where((number >= F.col("low")) & (number < F.col("high")))
 
+    def declare(self, partitions: DataFrame) -> None:
+        """Name the partitions (topic, partition) that there are; copies to others are then refused."""
+        rows = partitions.select("topic", "partition").distinct().orderBy("topic", "partition")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/catalog")
+
+    def catalog(self, spark: SparkSession) -> DataFrame | None:
+        """The declared partitions; nothing where any may be written."""
+        declared = read_or_empty(spark, f"{self.path}/catalog", CATALOG_SCHEMA)
+        return None if declared.isEmpty() else declared
+
     def end_offsets(self, spark: SparkSession) -> DataFrame:
         """The table's own end offsets."""
         return _end_offsets(self.snapshot(spark))
@@ -230,23 +241,20 @@ class KafkaTarget:
     """Topics of a cluster; needs Spark's Kafka connector at run time.
 
     Delivery is at least once. Source coordinates travel as headers behind the
-    message's own, so that progress can be read back from the target.
+    message's own, so that progress can be read back through ``reader``, a log
+    source over the same cluster. ``margin`` as in ``tail_progress``.
     """
 
     servers: str
     options: Mapping[str, str] = field(default_factory=dict)
     carry_source: bool = True
     max_per_round: int = ORDERED_ROWS
+    reader: Any = None
+    margin: int = 0
 
     def rows(self, messages: DataFrame) -> DataFrame:
         if self.carry_source:
-            coordinates = append_headers(
-                "headers",
-                single_header(SOURCE_TOPIC_HEADER, F.col("source_topic")),
-                single_header(SOURCE_PARTITION_HEADER, F.col("source_partition").cast("string")),
-                single_header(SOURCE_OFFSET_HEADER, F.col("source_offset").cast("string")),
-            )
-            messages = messages.withColumn("headers", coordinates)
+            messages = with_source_headers(messages)
         return order_for_write(messages, single_writer=True).select(
             "topic", "partition", "key", "value", "headers"
         )
@@ -258,30 +266,19 @@ class KafkaTarget:
         self.rows(messages).write.format("kafka").options(**self.writer_options()).save()
 
     def high_watermarks(self, spark: SparkSession) -> DataFrame:
-        """Empty: a stream's checkpoint, or source_coordinates, tells progress."""
+        """Empty: a stream's checkpoint, or ``tail_progress`` by the reader, tells."""
         return local_table(spark, [], OFFSETS_SCHEMA)
 
 
-@dataclass(frozen=True)
-class RowTarget:
-    """Any backend, through a function that writes an iterator of messages.
-
-    ``write_rows`` runs on the executors, once per task, and gets the messages
-    of a topic-partition in order. ``watermarks`` returns the backend's progress
-    if it keeps any.
-    """
-
-    write_rows: Callable[[Iterator[Row]], None]
-    watermarks: Callable[[SparkSession], DataFrame] | None = None
-    max_per_round: int = ORDERED_ROWS
-
-    def write_batch(self, messages: DataFrame, batch_id: int) -> None:
-        order_for_write(messages, single_writer=True).foreachPartition(self.write_rows)
-
-    def high_watermarks(self, spark: SparkSession) -> DataFrame:
-        if self.watermarks is None:
-            return local_table(spark, [], OFFSETS_SCHEMA)
-        return self.watermarks(spark)
+def with_source_headers(messages: DataFrame) -> DataFrame:
+    """Source coordinates as headers behind the message's own."""
+    coordinates = append_headers(
+        "headers",
+        single_header(SOURCE_TOPIC_HEADER, F.col("source_topic")),
+        single_header(SOURCE_PARTITION_HEADER, F.col("source_partition").cast("string")),
+        single_header(SOURCE_OFFSET_HEADER, F.col("source_offset").cast("string")),
+    )
+    return messages.withColumn("headers", coordinates)
 
 
 def source_coordinates(target_log: DataFrame) -> DataFrame:

@@ -10,25 +10,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.filters import Filter, attribute_filters
 from ..operators.intervals import offset_intervals
-from ..operators.routing import to_message, validate_routes
-from ..plans.replicate import captured, source_topics
+from ..operators.routing import to_message
+from ..plans.replicate import captured, check_routes, refuse_unplaced, source_topics
 from ..sinks.targets import TableTarget, Target
 from ..sinks.write import write_log_stream
 from ..sources.read import LogSource, read_log_stream
 from .progress import batch_metrics, observe_relay
 
 
-def check_routes(routes: DataFrame, catalog: DataFrame) -> None:
-    """Refuse to start when a target topic or pinned partition is missing."""
-    problems = validate_routes(routes, catalog).limit(20).collect()
-    if problems:
-        listed = "; ".join(
-            f"{p.source_topic} -> {p.target_topic}:{p.target_partition} ({p.reason})"
-            for p in problems
-        )
-        raise ValueError(f"routes without a place to go: {listed}")
-
-
 def relay_stream(
     spark: SparkSession,
     source: LogSource,
@@ -48,8 +37,10 @@ def relay_stream(
 
     All routes share one query: a broadcast lookup places each record. ``start``
     counts on the first start only, so pass the same one, or none, afterwards.
-    ``catalog`` lists the target's partitions and has the routes checked first.
+    Routes are checked first, by the partitions that the target declares and by
+    ``catalog``, if given.
     """
+    refuse_unplaced(spark, target, routes)
     if catalog is not None:
         check_routes(routes, catalog)
     log = read_log_stream(spark, source, source_topics(routes), start, max_per_trigger)

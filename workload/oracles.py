@@ -324,4 +324,39 @@ SELECT source_topic, target_topic, target_partition,
         FROM judged""",
         "judged",
     ),
+    "stream_filter_counts": _sql(
+        """SELECT denied_by AS filter, count(*) AS n FROM judged WHERE denied_by IS NOT NULL GROUP BY denied_by""",
+        "judged",
+    ),
+    "stream_multi_topic": _sql(
+        """
+        SELECT target_topic AS topic, target_partition AS "partition", source_topic, source_partition, source_offset
+        FROM routed""",
+        "routed",
+    ),
+    "mirrors_then_copy": _sql("""SELECT "partition", "offset" FROM log""", "log"),
+    "covered_offsets": _sql(
+        """
+        SELECT 'events' AS topic, "partition", min("offset") AS low, max("offset") + 1 AS high
+        FROM (SELECT "partition", "offset",
+                     "offset" - row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS island FROM gappy)
+        GROUP BY "partition", island""",
+        "gappy",
+    ),
+    "row_target_resume": _sql(
+        """SELECT "partition", "offset", "partition" AS source_partition, "offset" AS source_offset FROM log""", "log"
+    ),
+    "committed_write": _sql(
+        """SELECT "partition", "partition" AS source_partition, "offset" AS source_offset FROM log""", "log"
+    ),
+    "ordered_write": _sql(
+        """SELECT "partition", count(*) AS n, CAST(0 AS BIGINT) AS out_of_order FROM log GROUP BY "partition" """, "log"
+    ),
+    "write_codecs": _sql(
+        """
+        SELECT codec, "partition", count(*) AS n, CAST(sum("offset") AS BIGINT) AS offsets,
+               CAST(sum(strlen(value)) AS BIGINT) AS value_bytes
+        FROM log, (VALUES ('gzip'), ('snappy'), ('lz4'), ('zstd'), ('none')) AS c(codec) GROUP BY ALL""",
+        "log",
+    ),
 }

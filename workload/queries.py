@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsync.functions import append_headers, epoch_ns_text, header_text
@@ -41,21 +43,32 @@ from logsync.operators import (
     to_message,
     validate_routes,
 )
-from logsync.plans import captured, outstanding_messages, relay_with_failover
+from logsync.operators.intervals import offset_intervals
+from logsync.plans import captured, outstanding_messages, relay_bounded, relay_with_failover
 from logsync.schemas import HEALTH_SCHEMA
 from logsync.session import run_folder
-from logsync.sinks import TableTarget, write_batch_idempotent, write_log
+from logsync.sinks import (
+    CommittedTarget,
+    RowTarget,
+    TableTarget,
+    order_for_write,
+    write_batch_idempotent,
+    write_log,
+    write_options,
+)
+from logsync.sinks.targets import source_coordinates
 from logsync.sources import TableLog, end_offsets, read_log_stream, read_mirrors
 from logsync.streaming import (
     ActiveHistory,
     active_history_stream,
+    denied_totals,
     merge_mirrors_stream,
     progress_metrics,
-    progress_rows,
     relay_until_end,
 )
 
 from . import views
+from .sinks import FailsOnce, FileBroker
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -422,7 +435,122 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         filters=views.filters(), max_per_trigger=2,
     )
     query.awaitTermination()
-    return progress_metrics(progress_rows(query)).select("rows", "relayed", "filtered", "retries")
+    return progress_metrics(target.metrics(spark)).select("rows", "relayed", "filtered", "retries")
+
+
+def stream_filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Denied records per filter, as the batches of a stream have kept them."""
+    folder = run_folder(spark, "stream-filter-counts")
+    source, target = TableLog(f"{folder}/source"), TableTarget(f"{folder}/target")
+    source.append(views.event_log(spark, sf_dir))
+    relay_until_end(
+        spark, source, views.copy_routes(spark), target, f"{folder}/checkpoint",
+        filters=views.filters(), max_per_trigger=2,
+    ).awaitTermination()
+    return denied_totals(target.metrics(spark))
+
+
+def stream_multi_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many topics through one stream into one target, some pinned to a partition."""
+    folder = run_folder(spark, "stream-multi-topic")
+    source, target = TableLog(f"{folder}/source"), TableTarget(f"{folder}/target")
+    source.append(views.typed_log(spark, sf_dir))
+    relay_until_end(
+        spark, source, views.typed_routes(spark), target, f"{folder}/checkpoint", max_per_trigger=8
+    ).awaitTermination()
+    return target.read(spark).select(
+        "topic", "partition", "source_topic", "source_partition", "source_offset"
+    )
+
+
+def mirrors_then_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mirrors with holes streamed first; then what they lacked, from the whole log."""
+    folder = run_folder(spark, "mirrors-then-copy")
+    log = views.event_log(spark, sf_dir)
+    # Each mirror lacks runs of its own, and some runs are in neither.
+    run = F.floor(F.col("offset") / 7) % 5
+    nodes = [TableLog(f"{folder}/node{i}") for i in range(2)]
+    for node, lacks in zip(nodes, ((0, 1), (1, 2))):
+        node.append(log.where(~run.isin(*lacks)))
+    whole, target = TableLog(f"{folder}/whole"), TableTarget(f"{folder}/target")
+    whole.append(log)
+    routes = views.copy_routes(spark)
+    merge_mirrors_stream(
+        tag_mirrors([read_log_stream(spark, n, [views.TOPIC], max_per_trigger=2) for n in nodes]),
+        routes, target, f"{folder}/checkpoint", trigger={"availableNow": True},
+    ).awaitTermination()
+    relay_bounded(spark, whole, routes, target)
+    return target.read(spark).select(F.col("source_partition").alias("partition"), F.col("source_offset").alias("offset"))
+
+
+def covered_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The offsets of a log with gaps as intervals."""
+    return offset_intervals(views.gappy_log(spark, sf_dir))
+
+
+def row_target_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds into a broker that knows nothing of sources: progress is read back from its tail."""
+    folder = run_folder(spark, "row-target-resume")
+    source, broker = TableLog(f"{folder}/source"), TableLog(f"{folder}/broker")
+    target = RowTarget(FileBroker(broker.path), reader=broker)
+    source.append(views.log_share(spark, sf_dir, views.TARGET_SHARE))
+    relay_bounded(spark, source, views.copy_routes(spark), target)
+    source.append(after_offsets(views.event_log(spark, sf_dir), end_offsets(spark, source, [views.TOPIC])))
+    relay_bounded(spark, source, views.copy_routes(spark), target)
+    return source_coordinates(broker.scan(spark, [views.COPY])).select(
+        "partition", "offset", "source_partition", "source_offset"
+    )
+
+
+def committed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch whose tasks are lost half-way the first time, then written again."""
+    sink = FailsOnce(run_folder(spark, "committed-write"))
+    messages = to_message(views.event_log(spark, sf_dir), views.copy_routes(spark))
+    target = CommittedTarget(sink)
+    try:
+        target.write_batch(messages, 0)
+    except PySparkException:
+        # What a relay does when a batch fails: the same one again.
+        target.write_batch(messages, 0)
+    return sink.read(spark).select("partition", "source_partition", "source_offset")
+
+
+def ordered_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each partition, and how many stand before an earlier one in their file."""
+    path = f"{run_folder(spark, 'ordered-write')}/files"
+    messages = to_message(views.event_log(spark, sf_dir), views.copy_routes(spark))
+    order_for_write(messages).write.parquet(path)
+    rows = spark.read.parquet(path).select(
+        "partition", "source_offset", "_metadata.file_path", "_metadata.row_index"
+    )
+    # A file holds what one task has written.
+    along = Window.partitionBy("file_path", "partition").orderBy("row_index")
+    earlier = F.lag("source_offset").over(along)
+    return (
+        rows.withColumn("late", (earlier > F.col("source_offset")).cast("int"))
+        .groupBy("partition")
+        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"))
+    )
+
+
+def write_codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log written with every codec and read back."""
+    folder = run_folder(spark, "write-codecs")
+    messages = to_message(views.event_log(spark, sf_dir), views.copy_routes(spark))
+    read = []
+    for codec in ("gzip", "snappy", "lz4", "zstd", "none"):
+        target = TableTarget(f"{folder}/{codec}", compression=write_options(codec, table=True)["compression"])
+        write_log(messages, target)
+        read.append(target.read(spark).withColumn("codec", F.lit(codec)))
+    return (
+        reduce(lambda a, b: a.unionByName(b), read)
+        .groupBy("codec", "partition")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("source_offset").alias("offsets"),
+            F.sum(F.length("value")).alias("value_bytes"),
+        )
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -461,4 +589,12 @@ QUERIES: dict[str, Query] = {
     "stream_merge_mirrors": stream_merge_mirrors,
     "stream_active_history": stream_active_history,
     "stream_progress": stream_progress,
+    "stream_filter_counts": stream_filter_counts,
+    "stream_multi_topic": stream_multi_topic,
+    "mirrors_then_copy": mirrors_then_copy,
+    "covered_offsets": covered_offsets,
+    "row_target_resume": row_target_resume,
+    "committed_write": committed_write,
+    "ordered_write": ordered_write,
+    "write_codecs": write_codecs,
 }
