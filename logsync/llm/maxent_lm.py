@@ -7,10 +7,11 @@ A token's probability is that of its class, times that of the word within its
 class: for frequent words a second softmax, for the others the smoothed count
 among the words of that rare class, where one more word stands for all unknown.
 
-Both softmaxes add up weights of what stands before: single words at a distance
-of one to four, which share their weights (skip features), and runs of one, two
-and three words. Features are hashed to rows of two
-tables, one row giving the weights of all outcomes at once. All training documents
+Both softmaxes add up weights of what stands before. For the class: single words
+at a distance of one to four, which share their weights (skip features), and the
+last two words together; for the word in its class: the last word, and the last
+two. Features are hashed to rows of two tables, one row giving the
+weights of all outcomes at once. All training documents
 are trained on where they lie: each task goes over its documents in small
 batches, changes its copy of the weights by their gradients, and hands on what
 it changed; the changes of a row are averaged by how often each task met it.
@@ -29,9 +30,8 @@ digest. Other columns are not carried.
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -53,19 +53,23 @@ DICTIONARY = 1 << 18
 CLASSES, WIDTH = 32, 64
 HEAD = CLASSES * WIDTH
 RARE, TAIL_BYTES = 32, 3
+# The model tells words of up to so many bytes apart.
+HEAD_BYTES = 15
 OUTCOMES = CLASSES + RARE
 # Rows of hashed features of the class and of the word within its class; powers of two.
 CLASS_ROWS, WORD_ROWS = 1 << 15, 1 << 15
 KEYS = CLASS_ROWS + WORD_ROWS + 1 + CLASSES
 BEFORE = 4
-BATCH = 8192
-RATE, ROUNDS = 1.0, 1
+BATCH = 16384
+RATE, ROUNDS = 1.2, 1
 # Words that a task counts before it hands them on.
 COUNTED = 500_000
 _NEVER = -1e9
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xBF58476D1CE4E5B9)
+_SPREAD = 2_654_435_761
 _LN10 = math.log(10)
+_SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -73,11 +77,20 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def key_of(word: bytes) -> bytes:
-    return word if len(word) <= LONGEST else DIGEST + xxhash.xxh3_128_digest(word)
+    """The word, or its digest; both end alike."""
+    return word if len(word) <= LONGEST else DIGEST + xxhash.xxh3_128_digest(word) + word[-TAIL_BYTES:]
+
+
+def _spread(ending):
+    """The rare class of an ending, as a number or as a column; in longs."""
+    mixed = (ending * _SPREAD) % (1 << 32)
+    if isinstance(mixed, Column):
+        return F.shiftright(mixed.cast("long"), 16) % RARE
+    return (mixed >> 16) % RARE
 
 
 def rare_class(key: bytes) -> int:
-    return zlib.crc32(key[-TAIL_BYTES:]) % RARE
+    return _spread(int.from_bytes(key[-TAIL_BYTES:], "big"))
 
 
 def word_counts(docs: DataFrame, learn: Column) -> DataFrame:
@@ -147,12 +160,13 @@ def fit_vocabulary(counts: DataFrame, dictionary: int = DICTIONARY) -> Vocabular
         least = row["least"]
     # At most ``dictionary`` words of ``LONGEST`` bytes.
     known = counts.where(F.col("n") >= least).select("word", "trained").toArrow().to_pydict()
-    ranked = sorted(zip(known["word"], known["trained"]), key=lambda p: (-p[1], p[0]))
+    ranked = sorted(zip(known["word"], known["trained"]), key=lambda p: (len(p[0]) > HEAD_BYTES, -p[1], p[0]))
     words, trained = [w for w, _ in ranked], np.array([n for _, n in ranked], np.int64)
-    head = min(HEAD, int((trained > 0).sum()))
+    head = min(HEAD, sum(n > 0 and len(w) <= HEAD_BYTES for w, n in ranked))
     tokens, distinct = np.zeros(RARE, np.int64), np.zeros(RARE, np.int64)
     taught = counts.where("trained > 0")
-    ending = F.pmod(F.crc32(F.substring("word", -TAIL_BYTES, TAIL_BYTES)), F.lit(RARE)).alias("class")
+    ending = F.conv(F.hex(F.substring("word", -TAIL_BYTES, TAIL_BYTES)), 16, 10).cast("long")
+    ending = _spread(ending).alias("class")
     rest = taught.where(F.col("n") < least).groupBy(ending)
     for row in rest.agg(F.sum("trained").alias("tokens"), F.count(F.lit(1)).alias("words")).collect():
         tokens[row["class"]], distinct[row["class"]] = row["tokens"], row["words"]
@@ -171,33 +185,69 @@ class Indexes(dict):
         return self.get(key_of(word), -1) if len(word) > LONGEST else -1
 
 
+def _packed(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words as two numbers: size and first seven bytes, and last eight; words of ``HEAD_BYTES`` differ."""
+    first = np.minimum(sizes, 255).astype(np.uint64) << np.uint64(56)
+    last = np.zeros(len(starts), np.uint64)
+    ends = starts + sizes
+    for k in range(7):
+        own = data[np.minimum(starts + k, len(data) - 1)].astype(np.uint64)
+        first |= np.where(sizes > k, own, np.uint64(0)) << np.uint64(8 * k)
+    for k in range(1, HEAD_BYTES - 6):
+        own = data[ends - np.minimum(k, sizes)].astype(np.uint64)
+        last = last << np.uint64(8) | np.where(sizes >= k, own, np.uint64(0))
+    return first, last
+
+
 class Reader:
     """Texts as ids of the model: frequent words, then rare classes, then what stands before a text."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.indexes = Indexes({w: i for i, w in enumerate(vocabulary.words)})
-        head = vocabulary.head
-        self.ids = np.array([*range(head), *(HEAD + rare_class(w) for w in vocabulary.words[head:])], np.int64)
+        self.end = self.indexes[END]
+        self.end_id = self.end if 0 <= self.end < vocabulary.head else HEAD + rare_class(END)
         self.before = HEAD + RARE
-
-    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Ids of all tokens, their places in the dictionary, tokens of each text, words not in it by text."""
-        every, sizes, unknown = [], [], []
-        indexes = self.indexes
-        end = indexes[END]
-        for text in texts:
-            words = words_of(text)
-            at = np.fromiter(map(indexes.__getitem__, words), np.int64, len(words))
-            unknown.append([key_of(words[i]) for i in np.flatnonzero(at < 0).tolist()])
-            if end < 0:
-                unknown[-1].append(END)
-            every += [at, np.array([end], np.int64)]
-            sizes.append(len(words) + 1)
-        at = np.concatenate(every) if every else np.zeros(0, np.int64)
-        ids = np.append(self.ids, 0)[at]
-        ids[at < 0] = [HEAD + rare_class(w) for own in unknown for w in own]
-        return ids, at, np.array(sizes, np.int64), unknown
+        # The model's words in the order of a mix of their two numbers.
+        words = vocabulary.words[: vocabulary.head]
+        sizes = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words) + b"\0", np.uint8)
+        first, last = _packed(data, np.cumsum(sizes) - sizes, sizes)
+        mixed = _hash(np.uint64(6), first, last)
+        self.order = np.argsort(mixed)
+        self.mixed, self.first, self.last = mixed[self.order], first[self.order], last[self.order]
+
+    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, Callable[[], list[bytes]]]:
+        """Ids of all tokens, the number of tokens of each text, and in turn the words that are no ids, on demand."""
+        low = [(text or b"").translate(LOWER) for text in texts]
+        whole = b"\n".join([b"", *low, b""])
+        data = np.frombuffer(whole, np.uint8)
+        space = _SPACE[data]
+        starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+        sizes = ends - starts
+        first, last = _packed(data, starts, sizes)
+        ids = np.empty(len(starts), np.int64)
+        known = np.zeros(len(starts), bool)
+        if len(self.order):
+            mixed = _hash(np.uint64(6), first, last)
+            place = np.minimum(np.searchsorted(self.mixed, mixed), len(self.order) - 1)
+            known = (self.first[place] == first) & (self.last[place] == last) & (sizes <= HEAD_BYTES)
+            ids = self.order[place]
+        rare = np.flatnonzero(~known)
+        # The last bytes as one number, the last of them lowest.
+        ending = np.zeros(len(rare), np.int64)
+        for k in range(TAIL_BYTES):
+            own = data[np.maximum(ends[rare] - 1 - k, 0)].astype(np.int64)
+            ending |= np.where(sizes[rare] > k, own, 0) << 8 * k
+        ids[rare] = HEAD + _spread(ending)
+        # After each text its end.
+        bounds = np.cumsum([len(t) + 1 for t in low]) + 1 if low else np.zeros(0, np.int64)
+        counts = np.diff(np.searchsorted(starts, bounds), prepend=0) + 1
+        every = np.full(len(ids) + len(low), self.end_id, np.int64)
+        moved = np.arange(len(ids)) + np.repeat(np.arange(len(low)), counts - 1)
+        every[moved] = ids
+        return every, counts, lambda: [whole[i:j] for i, j in zip(starts[rare].tolist(), ends[rare].tolist())]
 
 
 class Context(NamedTuple):
@@ -206,7 +256,7 @@ class Context(NamedTuple):
     ids: np.ndarray
     stream: np.ndarray  # all ids, with those before a text
     at: np.ndarray  # places of ``ids`` in it
-    hashes: np.ndarray  # of the last word, the last two, the last three
+    hashes: np.ndarray  # of the last word, and of the last two
 
 
 def context(ids: np.ndarray, sizes: np.ndarray, before: int) -> Context:
@@ -215,11 +265,10 @@ def context(ids: np.ndarray, sizes: np.ndarray, before: int) -> Context:
     at = np.arange(len(ids)) + BEFORE * np.repeat(np.arange(1, len(sizes) + 1), sizes)
     stream = np.full(len(ids) + BEFORE * len(starts), before, np.int64)
     stream[at] = ids
-    one, two, three = (stream[at - k].astype(np.uint64) for k in (1, 2, 3))
+    one, two = (stream[at - k].astype(np.uint64) for k in (1, 2))
     hashes = [
         _hash(np.uint64(1), one),
         _hash(np.uint64(2), one, two),
-        _hash(np.uint64(3), one, two, three),
     ]
     return Context(ids, stream, at, np.stack(hashes))
 
@@ -245,7 +294,8 @@ class Weights:
         logs = np.where(present, np.log(own + 0.5), _NEVER)
         of_class = own.reshape(CLASSES, WIDTH).sum(axis=1)
         some = present.reshape(CLASSES, WIDTH).any(axis=1)
-        # Without context, classes and words are as frequent as they were counted.
+        # Without context, classes and words are as frequent as they were counted;
+        # what words weigh within a class without context stays as it is.
         classes = np.concatenate([np.where(some, np.log(of_class + 0.5), _NEVER), np.log(vocabulary.rare_tokens + 0.5)])
         self.class_bias = (classes - classes.max()).astype(np.float32)[None]
         words = logs.reshape(CLASSES, WIDTH)
@@ -276,7 +326,7 @@ class Model:
 
     def _class_rows(self, part: Context, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the features of tokens ``low`` to ``high``, and those of the ids around them."""
-        rows = (part.hashes[:, low:high] & np.uint64(CLASS_ROWS - 1)).astype(np.int64)
+        rows = (part.hashes[1:, low:high] & np.uint64(CLASS_ROWS - 1)).astype(np.int64)
         first, last = part.at[low] - BEFORE, part.at[high - 1]
         near = _hash(_NEAR, part.stream[first:last].astype(np.uint64)) & np.uint64(CLASS_ROWS - 1)
         return rows, near.astype(np.int64)
@@ -298,7 +348,7 @@ class Model:
         return *_odds(logits), rows, near
 
     def _word_rows(self, part: Context, low: int, chosen: np.ndarray, of_class: np.ndarray) -> np.ndarray:
-        mixed = part.hashes[:2, low + chosen] ^ (of_class.astype(np.uint64) + np.uint64(1)) * _FOLD
+        mixed = part.hashes[:, low + chosen] ^ (of_class.astype(np.uint64) + np.uint64(1)) * _FOLD
         return (mixed * _MIX >> np.uint64(20) & np.uint64(WORD_ROWS - 1)).astype(np.int64)
 
     def word_odds(self, rows: np.ndarray, of_class: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,22 +378,31 @@ class Model:
 
 def _by_row(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows once each, how often they were given, and the sums of their gradients."""
-    order = np.argsort(rows, kind="stable")
+    # Rows are few enough for two bytes, which sort by counting.
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
     ordered = rows[order]
     first = np.flatnonzero(np.diff(ordered, prepend=-1))
     times = np.diff(first, append=len(rows))
-    sums, left = gradients, times
-    # Neighbours of the same row are added in pairs until each row has one sum.
-    while len(order) > len(left):
+    out = gradients[order[first]]
+    # What a row has beyond its first gradient is added in pairs until one is left.
+    open_rows = np.flatnonzero(times > 1)
+    left = times[open_rows] - 1
+    at = order[np.delete(np.arange(len(order)), first)]
+    sums = gradients
+    while len(open_rows):
         halves = (left + 1) >> 1
         begin = np.cumsum(left) - left
-        place = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
-        at = np.repeat(begin, halves) + 2 * place
+        ends = np.cumsum(halves)
+        place = np.arange(ends[-1]) - np.repeat(ends - halves, halves)
+        own = np.repeat(begin, halves) + 2 * place
         paired = np.flatnonzero(2 * place + 1 < np.repeat(left, halves))
-        after = sums[order[at]]
-        after[paired] += sums[order[at[paired] + 1]]
-        sums, left, order = after, halves, np.arange(len(after))
-    return ordered[first], times, sums if sums is not gradients else gradients[order]
+        after = sums[at[own]]
+        after[paired] += sums[at[own[paired] + 1]]
+        done = halves == 1
+        out[open_rows[done]] += after[(ends - 1)[done]]
+        sums, at = after, np.flatnonzero(np.repeat(~done, halves))
+        open_rows, left = open_rows[~done], halves[~done]
+    return ordered[first], times, out
 
 
 class Trainer(Model):
@@ -381,15 +440,15 @@ class Trainer(Model):
             own[np.arange(len(chosen)), ids[chosen] % WIDTH] -= 1
             for feature in word_rows:
                 self._change(1, feature, own)
-            self._change(3, classes, own)
         for feature in rows:
             self._change(0, feature, gradients)
         # A word has its share in all tokens that it stands before.
-        spread = np.zeros((len(near) + 1, OUTCOMES), np.float32)
-        place = part.at[low:high] - part.at[low]
-        for k in range(BEFORE):
-            spread[place + k] += gradients
-        self._change(0, near, spread[: len(near)])
+        along = np.zeros((len(near) + BEFORE - 1, OUTCOMES), np.float32)
+        along[part.at[low:high] - part.at[low] + BEFORE - 1] = gradients
+        spread = along[: len(near)].copy()
+        for k in range(1, BEFORE):
+            spread += along[k : len(near) + k]
+        self._change(0, near, spread)
         self._change(2, np.zeros(1, np.int64), gradients.sum(axis=0, keepdims=True))
 
     def changes(self, start: Weights) -> Iterator[pa.RecordBatch]:
@@ -421,21 +480,30 @@ def _copied(weights: Weights) -> Weights:
 
 def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Changes of a row, weighted by how often it was met; tasks hold a share of the rows."""
+    # Tables by the width of their rows, each with room for every key.
     sums: dict[int, np.ndarray] = {}
-    met: Counter[int] = Counter()
+    met = np.zeros(KEYS, np.int64)
     for batch in batches:
-        for key, n, change in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            own = np.frombuffer(change, np.float16).astype(np.float32) * np.float32(n)
-            sums[key] = sums[key] + own if key in sums else own
-            met[key] += n
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(list(sums), pa.int32()),
-            pa.array([met[key] for key in sums], pa.int64()),
-            pa.array([(own / np.float32(met[key])).tobytes() for key, own in sums.items()], pa.binary()),
-        ],
-        names=["key", "met", "change"],
-    )
+        keys, times = (batch.column(i).to_numpy() for i in (0, 1))
+        changes = batch.column(2).to_pylist()
+        np.add.at(met, keys, times)
+        sizes = np.array([len(c) for c in changes])
+        for size in np.unique(sizes):
+            chosen = np.flatnonzero(sizes == size)
+            own = np.frombuffer(b"".join([changes[i] for i in chosen]), np.float16).reshape(len(chosen), -1)
+            table = sums.setdefault(int(size), np.zeros((KEYS, own.shape[1]), np.float32))
+            np.add.at(table, keys[chosen], own.astype(np.float32) * times[chosen, None].astype(np.float32))
+    for table in sums.values():
+        every = np.flatnonzero((met > 0) & table.any(axis=1))
+        means = table[every] / met[every, None].astype(np.float32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(every.astype(np.int32)),
+                pa.array(met[every]),
+                pa.array([row.tobytes() for row in means], pa.binary()),
+            ],
+            names=["key", "met", "change"],
+        )
 
 
 def fit_weights(docs: DataFrame, learn: Column, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Weights:
@@ -450,7 +518,7 @@ def fit_weights(docs: DataFrame, learn: Column, vocabulary: Vocabulary, rounds:
             words, start = sent.value
             reader, trainer = Reader(words), Trainer(_copied(start))
             for _, texts in text_blocks(batches):
-                ids, _, sizes, _ = reader.read(texts)
+                ids, sizes, _ = reader.read(texts)
                 trainer.learn(context(ids, sizes, reader.before))
             yield from trainer.changes(start)
 
@@ -479,21 +547,38 @@ def score_documents(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, w
     kinds = [pa.int64()] * 2 + [pa.bool_()] + [pa.int64()] * 2 + [pa.float64()] * 2
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, own = sent.value
-        reader, model = Reader(words), Model(own)
-        logs = np.append(np.log10(words.trained + 0.5), 0.0)
-        known = np.append(words.trained > 0, False)
-        rare_logs, row = words.rare_logs(), TaskContext.get().partitionId() << 40
+        vocabulary, weights = sent.value
+        reader, model = Reader(vocabulary), Model(weights)
+        logs = np.append(np.log10(vocabulary.trained + 0.5), 0.0)
+        known = np.append(vocabulary.trained > 0, False)
+        rare_logs, row = vocabulary.rare_logs(), TaskContext.get().partitionId() << 40
         for batch, texts in text_blocks(batches):
-            ids, at, sizes, unknown = reader.read(texts)
+            ids, sizes, rest = reader.read(texts)
+            words = rest()
             starts = np.cumsum(sizes) - sizes
             added = lambda x: np.add.reduceat(x, starts)
             natural = model.logs(context(ids, sizes, reader.before))
             is_rare = ids >= HEAD
+            # Places in the dictionary: a frequent word's id, a rare one's by itself.
+            is_end = np.zeros(len(ids), bool)
+            is_end[starts + sizes - 1] = True
+            at = ids.copy()
+            at[is_end] = reader.end
+            own = np.fromiter(map(reader.indexes.__getitem__, words), np.int64, len(words))
+            word_at = np.flatnonzero(is_rare & ~is_end)
+            at[word_at] = own
             natural[is_rare] -= rare_logs[ids[is_rare] - HEAD]
             # A rare word's smoothed count is over that of its class.
-            decimal = natural / _LN10 + np.where(is_rare, logs[at], 0.0)
-            times = [Counter(own) for own in unknown]
+            counted = logs[at]
+            decimal = natural / _LN10 + np.where(is_rare, counted, 0.0)
+            # Words that the dictionary lacks, text by text.
+            times = [Counter() for _ in texts]
+            lacking = np.flatnonzero(own < 0)
+            for text, i in zip(np.searchsorted(starts, word_at[lacking], "right") - 1, lacking.tolist()):
+                times[text][key_of(words[i])] += 1
+            if reader.end < 0:
+                for counter in times:
+                    counter[END] += 1
             ends = np.cumsum([0, *map(len, times)])
             pairs = pa.StructArray.from_arrays(
                 [
@@ -508,7 +593,7 @@ def score_documents(docs: DataFrame, held_out: Column, vocabulary: Vocabulary, w
                 batch.column(batch.schema.get_field_index("held_out")),
                 sizes,
                 added(known[at].astype(np.int64)),
-                added(logs[at]),
+                added(counted),
                 added(decimal),
             ]
             yield pa.RecordBatch.from_arrays(

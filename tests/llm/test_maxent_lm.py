@@ -94,6 +94,7 @@ def test_nothing_to_learn_from(spark, make_docs):
 def vocabulary_of(texts, dictionary=10**6):
     counts = Counter(w for t in texts for w in [*lm.words_of(t.encode()), lm.END])
     known = sorted(counts.items(), key=lambda p: (-p[1], p[0]))
+    assert all(len(w) <= lm.HEAD_BYTES for w in counts)
     head = min(lm.HEAD, len(known))
     tokens, distinct = np.zeros(lm.RARE, np.int64), np.zeros(lm.RARE, np.int64)
     for word, n in known[head:]:
@@ -110,7 +111,7 @@ CORPUS = [" ".join(f"a{(7 * i + k * k) % 211} b{(k + 131 * i) % 5000}" for k in
 def trained():
     words = vocabulary_of(CORPUS)
     reader, trainer = lm.Reader(words), lm.Trainer(lm.Weights(words))
-    ids, _, sizes, _ = reader.read([t.encode() for t in CORPUS])
+    ids, sizes, _ = reader.read([t.encode() for t in CORPUS])
     trainer.learn(lm.context(ids, sizes, reader.before))
     return words, reader, trainer
 
@@ -133,7 +134,7 @@ def test_probabilities_of_all_next_words_add_up_to_one(trained):
 
 def test_training_raises_the_probability(trained):
     words, reader, trainer = trained
-    ids, _, sizes, _ = reader.read([t.encode() for t in CORPUS])
+    ids, sizes, _ = reader.read([t.encode() for t in CORPUS])
     part = lm.context(ids, sizes, reader.before)
     before, after = (lm.Model(w).logs(part).sum() for w in (lm.Weights(words), trainer.weights))
     assert after > before + 0.3 * len(ids)
@@ -142,7 +143,7 @@ def test_training_raises_the_probability(trained):
 def test_gradients_are_those_of_the_log_probability():
     words = vocabulary_of(CORPUS[:3])
     reader = lm.Reader(words)
-    ids, _, sizes, _ = reader.read([t.encode() for t in CORPUS[:3]])
+    ids, sizes, _ = reader.read([t.encode() for t in CORPUS[:3]])
     part = lm.context(ids[:60], np.array([25, 35]), reader.before)
     chance = np.random.default_rng(1)
     weights = lm.Weights(words)
@@ -171,6 +172,28 @@ def test_gradients_are_those_of_the_log_probability():
         assert (sums[0] - sums[1]) / 2e-4 == pytest.approx(-(seen[table, row] * step).sum(), rel=2e-3, abs=2e-3)
 
 
+def test_ids_are_those_of_the_words():
+    texts = ["one two  three\n", "", None, " THREE a\x00 a exactlyfifteen1 \x1c\x85 z ", "x" * 40 + " \u00c9t\u00e9 ing sing", "end"]
+    known = [lm.END, b"a", b"a\x00", b"three", b"exactlyfifteen1", b"end", b"ing"]
+    words = lm.Vocabulary(
+        known, np.arange(9, 2, -1), len(known), 42, 7, np.zeros(lm.RARE, np.int64), np.zeros(lm.RARE, np.int64), 0
+    )
+    ids, sizes, rest = lm.Reader(words).read([t if t is None else t.encode() for t in texts])
+    at = 0
+    left = []
+    for text, size in zip(texts, sizes):
+        tokens = [*lm.words_of((text or "").encode()), lm.END]
+        assert size == len(tokens)
+        for token, i in zip(tokens, ids[at : at + size]):
+            assert i == (known.index(token) if token in known else lm.HEAD + lm.rare_class(token))
+            left += [token] * (token not in known)
+        at += size
+    assert at == len(ids) and rest() == left
+    assert lm.rare_class(b"x" * 40) == lm.rare_class(lm.key_of(b"x" * 40))
+    empty = lm.Reader(words).read([])
+    assert len(empty[0]) == len(empty[1]) == len(empty[2]()) == 0
+
+
 def test_sums_by_row():
     chance = np.random.default_rng(3)
     for n, top in ((1, 1), (50, 3), (400, 50), (300, 10_000)):
