@@ -36,9 +36,30 @@ BLOCK_BITS = 4
 BROADCAST_ROWS = 500_000
 
 
+_BETWEEN = r"[\x00-/:-@\[-`{-\x7f]+"
+# From each word on, as many words as a shingle has.
+_RUN = "(?<![^ ])(?=(" + " ".join(["[^ ]++"] * WIDTH) + "))"
+
+
 def plain_words(text: Column) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(F.split(low, r"[\x00-/:-@\[-`{-\x7f]+"), lambda w: w != "")
+    return F.filter(F.split(low, _BETWEEN), lambda w: w != "")
+
+
+def word_runs(df: DataFrame) -> DataFrame:
+    """``df(..., text)`` with a row for each shingle: its place ``at`` and hash ``run``; ``_n`` words in all.
+
+    Runs are cut out of the text by one pattern, which takes a fraction of what
+    arrays of words would.
+    """
+    plain = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), _BETWEEN, " "))
+    others = [c for c in df.columns if c != "text"]
+    return (
+        df.withColumn("_plain", plain)
+        .withColumn("_n", F.length("_plain") - F.length(F.replace("_plain", F.lit(" "), F.lit(""))) + 1)
+        .select(*others, "_n", F.posexplode(F.regexp_extract_all("_plain", F.lit(_RUN), F.lit(1))).alias("at", "_run"))
+        .select(*others, "_n", "at", F.xxhash64("_run").alias("run"))
+    )
 
 
 def with_shingles(df: DataFrame, text: str = "text") -> DataFrame:
@@ -105,16 +126,17 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def candidate_windows(texts: DataFrame, items: DataFrame) -> DataFrame:
-    """``_text, length, begin, doc_id``: windows that share a shingle in place.
+def candidate_windows(keyed: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``_text, length, begin, doc_id``: windows that share a shingle in place with an item.
 
     ``doc_id`` is the smallest that has the text.
     """
-    places = items.select("length", F.posexplode("item_shingles").alias("item_at", "shingle")).distinct()
-    found = texts.select("doc_id", "_text", F.size("_words").alias("_n"), F.posexplode("_shingles").alias("at", "shingle"))
+    items = word_runs(benchmark.where("item_id IS NOT NULL").select("text"))
+    places = items.select(F.col("_n").alias("length"), F.col("at").alias("item_at"), "run").distinct()
     begin = F.greatest(F.lit(0), F.least(F.col("at") - F.col("item_at"), F.col("_n") - F.col("length")))
     return (
-        found.join(_sent(places), "shingle")
+        word_runs(keyed.select("doc_id", "_text", "text"))
+        .join(_sent(places), "run")
         .select("_text", "length", begin.alias("begin"), "doc_id")
         .groupBy("_text", "length", "begin")
         .agg(F.min("doc_id").alias("doc_id"))
@@ -128,8 +150,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     """
     items = _kept(benchmark_items(benchmark), "items")
     keyed = docs.select(F.col("doc_id").cast("long"), "text").withColumn("_text", F.xxhash64("text"))
-    texts = with_shingles(keyed)
-    places = _kept(candidate_windows(texts, items), "places")
+    places = _kept(candidate_windows(keyed, benchmark), "places")
     at_text = places.groupBy("_text", F.col("doc_id").alias("_id")).agg(
         F.collect_set(F.struct("length", "begin")).alias("_places")
     )
