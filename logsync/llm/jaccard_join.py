@@ -44,6 +44,10 @@ BUCKETS = 1 << 22
 CHUNK = 1 << 16
 # Tokens counted before they are added to the buckets of a task.
 COUNTED = 1_000_000
+# Classes that a task remembers to have handed on.
+SEEN = 1_000_000
+# A class with more than this share of the documents is sent to all tasks.
+HOT_SHARE = 10_000
 # So many ids are broadcast to fetch their texts: eight bytes each.
 BROADCAST_IDS = 1_000_000
 
@@ -151,25 +155,34 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, width: int, percent: int) ->
     """``token, grp, class, n, place, strict`` for the prefix shingles of every set.
 
     ``strict``: the place lies in the shorter prefix that is enough for the
-    smaller set of a pair. ``grp`` names a size and a prefix.
+    smaller set of a pair. ``grp`` names a size and a prefix. A task hands on a
+    class once for each ``SEEN`` others, so a hot group of copies is about one
+    set of each task.
     """
     sent = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, level = WordHashes(), sent.value
+        seen: set[int] = set()
         for _, texts in text_blocks(batches):
             tokens, groups, classes, sizes, places, stricts = [], [], [], [], [], []
             for found in (shingle_set(t, hashes, width) for t in texts):
                 n = len(found)
                 if not n:
                     continue
+                own = _class_key(found)
+                if own in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(own)
                 upto = n - _need(n, percent) + 1
                 rank = level[(found % np.uint64(BUCKETS)).astype(np.int64)]
                 prefix = found[np.lexsort((found, rank))[:upto]]
                 tokens.append(prefix)
                 grp = xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=n)
                 groups.append(np.full(upto, grp, np.uint64))
-                classes.append(np.full(upto, _class_key(found), np.int64))
+                classes.append(np.full(upto, own, np.int64))
                 sizes.append(np.full(upto, n, np.int32))
                 places.append(np.arange(upto, dtype=np.int32))
                 stricts.append(np.arange(upto) < n - _need_equal(n, percent) + 1)
@@ -190,16 +203,17 @@ def _prefixes(docs: DataFrame, levels: np.ndarray, width: int, percent: int) ->
 def _met(postings: DataFrame) -> DataFrame:
     """Postings of the tokens that several classes have, each class once.
 
-    Minima and maxima are partial aggregates, so a hot group of copies is one
-    row of each task before anything is shuffled.
+    They are dealt by token once; what follows works on that, so no text is
+    read twice.
     """
+    dealt = postings.repartition("token")
     several = (
-        postings.groupBy("token")
+        dealt.groupBy("token")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
         .where("low <> high")
         .select("token")
     )
-    return postings.join(several, "token", "left_semi").distinct()
+    return dealt.join(several, "token", "left_semi").distinct()
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
@@ -345,6 +359,23 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     return _labelled(rows, known, keys, links)
 
 
+def _named(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``first_id`` of their class.
+
+    Classes that hold a large share of all rows, of which there can only be
+    some thousands, are looked up in each task; texts without words are one of
+    them, without a name.
+    """
+    sizes = rows.groupBy("class").agg(F.count(F.lit(1)).alias("members"))
+    least = rows.count() // HOT_SHARE + 1
+    hot = _kept(sizes.where(F.col("members") > least).join(keys, "class", "left").select("class", "first_id"), "hot")
+    # At most HOT_SHARE rows.
+    hot = F.broadcast(hot.withColumn("is_hot", F.lit(True)))
+    marked = rows.join(hot, "class", "left")
+    cold = marked.where("is_hot IS NULL").drop("first_id", "is_hot").join(keys, "class", "left")
+    return cold.unionByName(marked.where("is_hot").select(*cold.columns))
+
+
 def _labelled(rows: DataFrame, known: DataFrame, keys: DataFrame, links: DataFrame) -> DataFrame:
     """Components of ids, through links of classes and ids that have several texts."""
     several = known.groupBy("doc_id").agg(F.min("class").alias("low"), F.max("class").alias("high"))
@@ -358,7 +389,7 @@ def _labelled(rows: DataFrame, known: DataFrame, keys: DataFrame, links: DataFra
         .unionByName(shared.select(F.col("doc_id").alias("a"), F.col("first_id").alias("b")))
     )
     names = components(edges)
-    ids = rows.join(keys, "class", "left")
+    ids = _named(rows, keys)
     return ids.join(names, ids["first_id"] == names["node"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
