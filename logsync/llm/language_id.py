@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsync.llm.text import text_blocks
+from logsync.llm.text import hash_bound, text_blocks
 
 # The sample: about so many texts, and so many words of them.
 TRAIN_ROWS = 1_600
@@ -171,20 +171,59 @@ def pieces(word: bytes) -> list[bytes]:
     return [word[at : at + LONGEST] for at in range(0, len(word), LONGEST)]
 
 
-def word_sums(net: Network, some: list[bytes]) -> dict[bytes, np.ndarray]:
-    """For each piece the sum of its positions' probabilities."""
-    by_size: dict[int, list[bytes]] = {}
-    for word in some:
-        by_size.setdefault(len(word), []).append(word)
-    out: dict[bytes, np.ndarray] = {}
-    for size, own in by_size.items():
+def word_sums(net: Network, some: list[bytes]) -> np.ndarray:
+    """For each piece, a row: the sum of its positions' probabilities, and their number."""
+    out = np.empty((len(some), len(net.out_bias) + 1), np.float32)
+    sizes = np.fromiter(map(len, some), np.int64, len(some))
+    out[:, -1] = sizes
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
         for at in range(0, len(own), 4096):
             part = own[at : at + 4096]
-            symbols = np.frombuffer(b"".join(part), np.uint8).reshape(len(part), size).T
-            out.update(zip(part, _positions(net, symbols)[1].sum(0)))
+            symbols = np.frombuffer(b"".join([some[i] for i in part]), np.uint8).reshape(len(part), size).T
+            out[part, :-1] = _positions(net, symbols)[1].sum(0)
     return out
 
 
+class WordTable:
+    """Rows of words met before, in two generations: a full one becomes the older one."""
+
+    def __init__(self, net: Network, room: int = CACHED) -> None:
+        self.net, self.room = net, room
+        self.place: dict[bytes, int] = {}
+        self.rows = np.empty((room, len(net.out_bias) + 1), np.float32)
+        self.older_place: dict[bytes, int] = {}
+        self.older_rows = self.rows[:0]
+
+    def of(self, some: list[bytes]) -> np.ndarray:
+        """The rows of words, one for each."""
+        at = [self.place.get(w, -1) for w in some]
+        if -1 in at:
+            new = list(dict.fromkeys([w for w, i in zip(some, at) if i < 0]))
+            if len(self.place) + len(new) > self.room:
+                new = list(dict.fromkeys(some))
+                if len(new) > self.room:
+                    half = len(some) // 2
+                    return np.concatenate([self.of(some[:half]), self.of(some[half:])])
+                self.older_place, self.older_rows = self.place, self.rows
+                self.place, self.rows = {}, np.empty_like(self.rows)
+            self._add(new)
+            at = [self.place[w] for w in some]
+        return self.rows[at]
+
+    def _add(self, new: list[bytes]) -> None:
+        begin = len(self.place)
+        self.place.update(zip(new, range(begin, begin + len(new))))
+        old = np.array([self.older_place.get(w, -1) for w in new])
+        self.rows[begin + np.flatnonzero(old >= 0)] = self.older_rows[old[old >= 0]]
+        fresh = np.flatnonzero(old < 0)
+        parts = [pieces(new[i]) for i in fresh]
+        sums = word_sums(self.net, [p for own in parts for p in own])
+        counts = np.array([len(own) for own in parts], np.int64)
+        if len(counts):
+            self.rows[begin + fresh] = np.add.reduceat(sums, np.cumsum(counts) - counts)
+
+
 class Model(NamedTuple):
     languages: list[str]
     network: Network | None
@@ -193,13 +232,22 @@ class Model(NamedTuple):
 def train_language_id(docs: DataFrame, allowed: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """A model from the texts and ``lang`` of ``docs`` where ``allowed`` holds.
 
-    About ``train_rows`` texts are taken, by the hash of their ids, and of them
-    up to ``TRAIN_WORDS`` words, by an even stride over each; the sample's
-    languages are those that can be named.
+    About ``train_rows`` texts are taken, as many of each language as there are,
+    by the hash of their ids, and of them up to ``TRAIN_WORDS`` words, by an even
+    stride over each. Of more than ``train_rows`` languages the most frequent
+    ones can be named.
     """
     usable = docs.where(allowed & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    share = min(1.0, train_rows / max(1, usable.select("doc_id").count()))
-    sample = usable.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(train_rows)
+    # At most ``train_rows`` rows; equal parts, of which small languages leave some to the others.
+    found = [(r["lang"], r["n"]) for r in counts.collect()]
+    left, parts = train_rows, {}
+    for k, (lang, n) in enumerate(sorted(found, key=lambda x: x[1])):
+        parts[lang] = (min(n, left // (len(found) - k)), n)
+        left -= parts[lang][0]
+    bounds = [(lang, hash_bound(part / n)) for lang, (part, n) in parts.items()]
+    bounds = docs.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    sample = usable.join(F.broadcast(bounds), "lang").where(F.xxhash64("doc_id", F.lit("lang")) <= F.col("bound"))
     one = sample.select("doc_id", "text", "lang").repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "text")
     rows = one.mapInArrow(_train, "languages array<string>, weights array<binary>").collect()
     if not rows or not rows[0]["languages"]:
@@ -239,39 +287,21 @@ def predict_language(docs: DataFrame, model: Model) -> DataFrame:
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, net = sent.value
-        place: dict[bytes, int] = {}
-        table = np.zeros((0, len(languages) + 1))
+        table = WordTable(net) if net else None
         for batch, texts in text_blocks(batches):
-            own = [words(t) for t in texts] if net else [[] for _ in texts]
-            new = list({w for some in own for w in some} - place.keys())
-            if len(place) + len(new) > CACHED and place:
-                place, table = {}, table[:0]
-                new = list({w for some in own for w in some})
-            place, table = _remember(net, place, table, new)
-            langs, scores = [], []
-            for text, some in zip(texts, own):
-                if some and has_letter(text):
-                    at = np.fromiter(map(place.__getitem__, some), np.int64, len(some))
-                    sums = table[at].sum(0)
-                    best = int(sums[:-1].argmax())
-                    langs.append(languages[best])
-                    scores.append(float(sums[best] / sums[-1]))
-                else:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
+            own = [words(t) if table and has_letter(t) else [] for t in texts]
+            sizes = np.array([len(some) for some in own], np.int64)
+            langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            known = np.flatnonzero(sizes)
+            if len(known):
+                rows = table.of([w for some in own for w in some])
+                sums = np.add.reduceat(rows, (np.cumsum(sizes) - sizes)[known], dtype=np.float64)
+                best = sums[:, :-1].argmax(1)
+                langs[known] = np.array(languages, object)[best]
+                scores[known] = sums[np.arange(len(known)), best] / sums[:, -1]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(np.clip(scores, 0, 1), pa.float64())],
                 names=[*batch.schema.names, *RESULT],
             )
 
     return rest.mapInArrow(predict, T.StructType([*rest.schema.fields, *result]))
-
-
-def _remember(net: Network | None, place: dict, table: np.ndarray, new: list[bytes]):
-    """Each new word's summed probabilities, and its number of positions, as a row."""
-    if not new:
-        return place, table
-    sums = word_sums(net, list({p for w in new for p in pieces(w)}))
-    rows = np.array([np.append(sum(sums[p] for p in pieces(w)), len(w)) for w in new])
-    place.update(zip(new, range(len(table), len(table) + len(new))))
-    return place, np.concatenate([table, rows])

@@ -32,6 +32,11 @@ def id_hash(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def hash_bound(share: float) -> int:
+    """The 64-bit hash up to which about this share of all hashes lies, however small it is."""
+    return max(-(1 << 63), min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept for the next time."""
 

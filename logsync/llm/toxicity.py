@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsync.llm.text import CACHED_WORDS, PLAIN, combined, text_blocks
+from logsync.llm.text import hash_bound, CACHED_WORDS, PLAIN, combined, text_blocks
 
 # Labelled rows that training reads, about: a fixed bound, whatever the corpus.
 TRAIN_ROWS = 8_000
@@ -151,9 +151,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_R
     """
     truth = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
     truth = truth.agg(F.max("toxic").cast("int").alias("label"))
-    share = min(1.0, train_rows / max(1, truth.count()))
+    bound = hash_bound(train_rows / max(1, train_rows, truth.count()))
     # At most about train_rows rows of two numbers.
-    chosen = F.broadcast(truth.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))))
+    chosen = F.broadcast(truth.where(F.xxhash64("doc_id") <= F.lit(bound).cast("long")))
     sample = docs.select("doc_id", "text").join(chosen, "doc_id")
     one = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "text")
     rows = one.mapInArrow(_train, _MODEL).collect()
