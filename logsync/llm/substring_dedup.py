@@ -15,7 +15,7 @@ so a passage that very many documents share shuffles a row for each task.
 Defined results: null and empty texts stay as they are; texts under ``SPAN``
 sentences too, as they have no span; rows that share an id are one document,
 and so are all rows without id, which come last; other columns pass through
-unless their names are those of the result.
+unless their names are those of the result, whatever they are called.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ _TOP = np.uint64((1 << 64) - 1)
 # Rows without id come after all others.
 NO_ID = (1 << 63) - 1
 RESULT = ("kept_text", "removed_sentences")
+MARKS = "\x00marks"
 
 _SENTENCE = re.compile(rb"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+")
 # Sentence ends of other scripts, and scripts that set no blanks between words.
@@ -71,41 +72,71 @@ def _has_signs(text: bytes) -> bool:
     return not text.isascii() and _WIDE_SIGN.search(text) is not None
 
 
-def _cut_long(part: bytes) -> list[bytes]:
-    """A sentence cut after words that have the lowest hash among their neighbours.
-
-    The choice depends on ``NEAR_WORDS`` words to each side and the word that
-    follows, so it is the same wherever a passage stands. Only stretches where
-    no word stands out, as where words recur, are cut every so many.
-    """
+def _long_words(part: bytes) -> tuple[list[bytes], list[int]] | None:
+    """Words of a long sentence and where they begin; nothing for others."""
     plain = part.translate(PLAIN)
     if _has_signs(part):
         found = list(_WIDE_WORD.finditer(plain))
-        words, starts = [m[0] for m in found], [m.start() for m in found]
-    else:
-        words, filled = plain.split(), np.frombuffer(b" " + plain, np.uint8) != 32
-        starts = np.flatnonzero(filled[1:] & ~filled[:-1]).tolist()
+        return ([m[0] for m in found], [m.start() for m in found]) if len(found) > SENTENCE_WORDS else None
+    words = plain.split()
     if len(words) <= SENTENCE_WORDS:
-        return [part]
-    cuts = [0, *(starts[p] for p in _cuts(words)), len(part)]
-    return [part[a:b] for a, b in zip(cuts, cuts[1:])]
+        return None
+    filled = np.frombuffer(b" " + plain, np.uint8) != 32
+    return words, np.flatnonzero(filled[1:] & ~filled[:-1]).tolist()
+
 
+def _cut_long(parts: list[bytes], doubtful: list[int]) -> list[bytes]:
+    """Sentences, the long ones cut after words that have the lowest hash among their neighbours.
 
-def _cuts(words: list[bytes]) -> list[int]:
-    """Places between words, before each of which a word has the lowest hash around."""
-    value = combined(np.fromiter(map(zlib.crc32, words), np.uint64, len(words)), 2)
+    The choice depends on ``NEAR_WORDS`` words to each side and the word that
+    follows, so it is the same wherever a passage stands. Only stretches where
+    no word stands out, as where words recur, are cut every so many. ``doubtful``
+    are the places of sentences that may be long.
+    """
+    long = {i: found for i in doubtful if (found := _long_words(parts[i])) is not None}
+    if not long:
+        return parts
+    out, last = [], 0
+    for (i, (_, starts)), places in zip(long.items(), _cuts([words for words, _ in long.values()])):
+        cuts = [0, *(starts[p] for p in places), len(parts[i])]
+        out += parts[last:i]
+        out += [parts[i][a:b] for a, b in zip(cuts, cuts[1:])]
+        last = i + 1
+    return out + parts[last:]
+
+
+def _cuts(some: list[list[bytes]]) -> list[list[int]]:
+    """For each list of words the places before each of which a word has the lowest hash around."""
+    sizes = np.fromiter(map(len, some), np.int64, len(some))
+    flat = [w for words in some for w in words]
+    pairs = combined(np.fromiter(map(zlib.crc32, flat), np.uint64, len(flat)), 2)
+    # A pair for each word but the last of a list; lists lie apart, the highest hash between them.
+    ends = np.cumsum(sizes)
+    own = np.ones(len(flat), bool)
+    own[ends - 1] = False
+    at = np.arange(len(flat)) + NEAR_WORDS * np.repeat(np.arange(1, len(some) + 1), sizes)
+    value = np.full(len(flat) + NEAR_WORDS * (len(some) + 1), _TOP)
+    value[at[own]] = pairs[own[:-1]] if len(flat) else pairs
+    inner = value[NEAR_WORDS:-NEAR_WORDS]
     # Less than those before, not more than those after: two cuts lie further apart.
-    wide = np.concatenate([np.full(NEAR_WORDS, _TOP), value, np.full(NEAR_WORDS, _TOP)])
-    lowest = np.ones(len(value), bool)
-    for k in range(NEAR_WORDS):
-        lowest &= value < wide[k : k + len(value)]
-        lowest &= value <= wide[k + NEAR_WORDS + 1 : k + NEAR_WORDS + 1 + len(value)]
-    places, last = [], 0
-    for place in [*(np.flatnonzero(lowest) + 1).tolist(), len(words)]:
-        places += range(last + SENTENCE_WORDS, place, SENTENCE_WORDS)
-        places.append(place)
-        last = place
-    return places[:-1]
+    lowest = inner != _TOP
+    for k in range(1, NEAR_WORDS + 1):
+        lowest &= inner < value[NEAR_WORDS - k : len(value) - NEAR_WORDS - k]
+        lowest &= inner <= value[NEAR_WORDS + k : len(value) - NEAR_WORDS + k]
+    low = np.flatnonzero(lowest[at - NEAR_WORDS])
+    bounds = np.searchsorted(low, [0, *ends.tolist()]).tolist()
+    places = (low - np.repeat(ends - sizes, np.diff(bounds)) + 1).tolist()
+    out = []
+    for size, i, j in zip(sizes.tolist(), bounds, bounds[1:]):
+        found: list[int] = []
+        last = 0
+        for place in [*places[i:j], size]:
+            if place - last > SENTENCE_WORDS:
+                found += range(last + SENTENCE_WORDS, place, SENTENCE_WORDS)
+            found.append(place)
+            last = place
+        out.append(found[:-1])
+    return out
 
 
 def _gathered(short: list[bytes]) -> list[bytes]:
@@ -114,7 +145,7 @@ def _gathered(short: list[bytes]) -> list[bytes]:
     worded = [k for k, p in enumerate(plain) if p]
     if len(worded) < SHORT_ROW:
         return short
-    cuts = [0, *(worded[p - 1] + 1 for p in _cuts([plain[k] for k in worded])), len(short)]
+    cuts = [0, *(worded[p - 1] + 1 for p in _cuts([[plain[k] for k in worded]])[0]), len(short)]
     return [b"".join(short[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
@@ -123,6 +154,7 @@ def sentences(text: bytes | None) -> list[bytes]:
     text = text or b""
     out: list[bytes] = []
     short: list[bytes] = []
+    doubtful: list[int] = []
     wide = not text.isascii() and _WIDE_END.search(text)
     for found in (_WIDE_SENTENCE if wide else _SENTENCE).findall(text):
         if len(found) <= SHORT_BYTES and len(found.split() if found.isascii() else _words([found])[0]) <= SHORT_WORDS:
@@ -131,11 +163,11 @@ def sentences(text: bytes | None) -> list[bytes]:
         if short:
             out += _gathered(short) if len(short) >= SHORT_ROW else short
             short = []
-        if len(found) > 2 * SENTENCE_WORDS:
-            out += _cut_long(found) if len(found.split()) > SENTENCE_WORDS or not found.isascii() else [found]
-        else:
-            out.append(found)
-    return out + (_gathered(short) if len(short) >= SHORT_ROW else short)
+        if len(found) > 2 * SENTENCE_WORDS and (not found.isascii() or len(found.split()) > SENTENCE_WORDS):
+            doubtful.append(len(out))
+        out.append(found)
+    out += _gathered(short) if len(short) >= SHORT_ROW else short
+    return _cut_long(out, doubtful)
 
 
 def spans(parts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -213,9 +245,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """``docs`` with ``kept_text`` and ``removed_sentences``."""
     rest = docs.drop(*(c for c in RESULT if c in docs.columns))
-    marks = repeated_spans(docs).withColumnRenamed("id", "_id")
-    joined = rest.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).join(marks, "_id", "left")
-    wide, names = joined.drop("_id"), rest.columns
+    # Other columns travel as one, so that no name of theirs meets one used here.
+    own = rest.select(
+        F.struct(*rest.columns).alias("row"),
+        F.col("text"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+    )
+    names = rest.columns
+    joined = own.join(repeated_spans(docs), "id", "left")
+    wide = joined.select(*(F.col(f"row.`{c}`") for c in names), F.col("marks").alias(MARKS))
     result = [T.StructField("kept_text", T.StringType()), T.StructField("removed_sentences", T.IntegerType())]
     schema = T.StructType([*rest.schema.fields, *result])
 
@@ -223,7 +261,7 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
         hashes = WordHashes()
         for batch, texts in text_blocks(batches):
             kept, removed = [], []
-            for text, found in zip(texts, batch.column("marks").to_pylist()):
+            for text, found in zip(texts, batch.column(len(names)).to_pylist()):
                 own, n = _without(text, found, hashes) if found else (text, 0)
                 kept.append(own)
                 removed.append(n)
