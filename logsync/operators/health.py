@@ -205,7 +205,7 @@ def active_history(
         ),
     )["nodes"]
     replayed = (
-        slices.join(_slice_starts(slices, state), ["topic", "_slice"])
+        slices.join(_slice_starts(slices, state, slice_by), ["topic", "_slice"])
         .withColumn("_after", trail)
         .withColumn(
             "_before",
@@ -231,45 +231,72 @@ def _node(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(NONE))
 
 
-def _slice_starts(slices: DataFrame, state: DataFrame | None) -> DataFrame:
+# Stretches of time that hold a bounded number of the one before.
+COARSER = {"second": "minute", "minute": "hour", "hour": "day", "day": "month", "week": "year", "month": "year", "quarter": "year"}
+
+
+def _slice_starts(slices: DataFrame, state: DataFrame | None, slice_by: str) -> DataFrame:
     """The active node on entry to every slice.
 
     A slice maps the node active before it to the one active after it. Nodes
     that may not stay at its first tick all end like "no node", so the map has
-    one entry for those and one for each node that may. Per topic the maps, a
-    few numbers per slice, are followed in order.
+    one entry for those and one for each node that may. Maps of neighbouring
+    slices are composed to those of days, months and years, a few dozen at a
+    time; then the node on entry is handed down the same way. No array holds
+    more than the years of a topic.
     """
     enter = F.concat(F.array(F.lit(NONE)), F.col("_steps")[0]["stay"])
-    leave = F.transform(enter, lambda node: F.aggregate("_steps", node, _next_node))
-    maps = slices.select("topic", "_slice", F.map_from_arrays(enter, leave).alias("_leave"))
-    topics = maps.groupBy("topic").agg(
-        F.array_sort(
-            F.collect_list(F.struct("_slice", F.map_entries("_leave").alias("_leave")))
-        ).alias("_maps")
+    leave = F.transform(
+        enter, lambda node: F.struct(node.alias("key"), F.aggregate("_steps", node, _next_node).alias("value"))
     )
-    if state is None:
-        topics = topics.withColumn("_initial", F.lit(NONE))
-    else:
+    maps = slices.select("topic", "_slice", leave.alias("_leave"))
+    levels, unit = [], COARSER.get(slice_by)
+    while unit is not None:
+        levels.append(_composed(maps, F.date_trunc(unit, "_slice")))
+        maps = levels[-1].select("topic", F.col("_group").alias("_slice"), "_leave")
+        unit = COARSER.get(unit)
+    top = _composed(maps, F.lit(None).cast("timestamp"))
+    initial = F.lit(NONE)
+    if state is not None:
         known = state.select("topic", F.col("active").alias("_initial"))
-        topics = topics.join(known, "topic", "left").withColumn(
-            "_initial", F.coalesce("_initial", F.lit(NONE))
-        )
+        top = top.join(known, "topic", "left")
+        initial = F.coalesce("_initial", F.lit(NONE))
+    starts = _entered(top.withColumn("_start", initial))
+    for level in reversed(levels):
+        starts = _entered(level.join(starts.withColumnRenamed("_slice", "_group"), ["topic", "_group"]))
+    return starts
+
+
+def _leaving(node: Column, one: Column) -> Column:
+    found = F.filter(one["_leave"], lambda entry: entry["key"] == node)
+    return F.coalesce(F.try_element_at(found, F.lit(1))["value"], one["_leave"][0]["value"])
+
+
+def _composed(maps: DataFrame, group: Column) -> DataFrame:
+    """For each group of neighbours their maps in order, and the map through all of them."""
+    ordered = F.array_sort(F.collect_list(F.struct("_slice", "_leave")))
+    grouped = maps.groupBy("topic", group.alias("_group")).agg(ordered.alias("_maps"))
+    rest = F.slice("_maps", 2, F.size("_maps"))
+    through = F.transform(
+        F.col("_maps")[0]["_leave"],
+        lambda e: F.struct(e["key"].alias("key"), F.aggregate(rest, e["value"], _leaving).alias("value")),
+    )
+    return grouped.withColumn("_leave", through)
 
-    def leaving(node: Column, one: Column) -> Column:
-        found = F.filter(one["_leave"], lambda entry: entry["key"] == node)
-        return F.coalesce(F.try_element_at(found, F.lit(1))["value"], one["_leave"][0]["value"])
 
-    entered = F.aggregate(
+def _entered(groups: DataFrame) -> DataFrame:
+    """The node on entry to each member of groups with ``_start``."""
+    nodes = F.aggregate(
         "_maps",
-        F.struct(F.col("_initial").alias("node"), F.array().cast("array<int>").alias("nodes")),
+        F.struct(F.col("_start").alias("node"), F.array().cast("array<int>").alias("nodes")),
         lambda seen, one: F.struct(
-            leaving(seen["node"], one).alias("node"),
+            _leaving(seen["node"], one).alias("node"),
             F.concat(seen["nodes"], F.array(seen["node"])).alias("nodes"),
         ),
     )["nodes"]
-    return topics.select(
-        "topic", F.explode(F.arrays_zip("_maps", entered.alias("_start"))).alias("_at")
-    ).select("topic", "_at._maps._slice", "_at._start")
+    return groups.select("topic", F.explode(F.arrays_zip("_maps", nodes.alias("_start"))).alias("_at")).select(
+        "topic", "_at._maps._slice", "_at._start"
+    )
 
 
 def lag_breaches(weights: DataFrame, active: DataFrame, threshold: int) -> DataFrame:

@@ -187,3 +187,30 @@ def test_fingerprint_tells_null_from_empty_and_position(spark):
     )
     prints = {r[0] for r in rows.select(payload_fingerprint("key", "value")).collect()}
     assert len(prints) == 5
+
+
+def test_denied_records_are_not_shown_to_later_filters(make_log):
+    """A filter that cannot take what an earlier one denies is never asked about it."""
+
+    def number(value):
+        return int(value) < 50
+
+    class Even:
+        def is_allowed(self, value):
+            return int(value) % 2 == 0
+
+    log = make_log(*[("t", 0, o, None, v) for o, v in enumerate([b"4", b"x", b"7", None, b"60", b"-"])])
+    filters = {
+        "digits": F.col("value").cast("string").rlike("^[0-9]+$"),
+        "small": opaque_filter(number),
+        "even": opaque_filter(Even),
+        "not_four": F.col("value").cast("string") != "4",
+    }
+    found = {r.offset: r.denied_by for r in attribute_filters(log, filters).collect()}
+    assert found == {0: "not_four", 1: "digits", 2: "even", 3: "digits", 4: "small", 5: "digits"}
+    assert filter_messages(log, {k: filters[k] for k in ("digits", "small")}).count() == 2
+    # Opaque filters first, in one pass, each asked only for what is left.
+    first = {"known": opaque_filter(lambda v: v is not None and v.isdigit()), **{k: filters[k] for k in ("small", "even")}}
+    assert {r.offset: r.denied_by for r in attribute_filters(log, first).collect()} == {
+        0: None, 1: "known", 2: "even", 3: "known", 4: "small", 5: "known",
+    }
