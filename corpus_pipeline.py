@@ -56,9 +56,11 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti").select(*docs.columns)
+    """Rows whose text holds a benchmark item go, whatever ids they or others have."""
+    # A text stands for itself, so rows that share an id, or have none, are told apart.
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    found = contaminated(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("\x00text")).distinct()
+    return docs.join(found, F.xxhash64(docs["text"]) == found["\x00text"], "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
