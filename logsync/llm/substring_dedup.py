@@ -247,13 +247,13 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     rest = docs.drop(*(c for c in RESULT if c in docs.columns))
     # Other columns travel as one, so that no name of theirs meets one used here.
     own = rest.select(
-        F.struct(*rest.columns).alias("row"),
+        F.struct(*(F.col(quoted(c)) for c in rest.columns)).alias("row"),
         F.col("text"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
     )
     names = rest.columns
     joined = own.join(repeated_spans(docs), "id", "left")
-    wide = joined.select(*(F.col(f"row.`{c}`") for c in names), F.col("marks").alias(MARKS))
+    wide = joined.select(*(F.col(f"row.{quoted(c)}") for c in names), F.col("marks").alias(MARKS))
     result = [T.StructField("kept_text", T.StringType()), T.StructField("removed_sentences", T.IntegerType())]
     schema = T.StructType([*rest.schema.fields, *result])
 
@@ -274,6 +274,11 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     return wide.mapInArrow(remove, schema)
 
 
+def quoted(name: str) -> str:
+    """A column's name, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _without(text: bytes | None, marks: list[dict], hashes: WordHashes) -> tuple[bytes | None, int]:
     """The text without the marked runs that it holds itself."""
     parts = sentences(text)

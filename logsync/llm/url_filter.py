@@ -123,15 +123,19 @@ def filter_urls(
     judged = urls.drop(*(c for c in RESULT if c in urls.columns)).withColumns(
         {"host": url_host(F.col(url)), "path": url_path(F.col(url))}
     )
+    # Whatever columns there are, the rule found gets one of its own.
+    own = "_best"
+    while own in judged.columns:
+        own += "_"
     index = rule_index(judged.select("host", "path"), compiled(spark, rules))
     if len(rules) <= PLANNED_RULES:
         best = _planned(index.collect())
-        out = judged.withColumn("_best", best)
+        out = judged.withColumn(own, best)
     else:
-        out = _joined(judged, index, len(rules) <= BROADCAST_RULES)
+        out = _joined(judged, index, len(rules) <= BROADCAST_RULES, own)
     return out.withColumns(
-        {"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}
-    ).drop("_best")
+        {"rule": F.col(f"{own}.rule"), "verdict": F.coalesce(f"{own}.verdict", F.lit(default))}
+    ).drop(own)
 
 
 def _planned(index: list) -> Column:
@@ -166,7 +170,7 @@ def _planned(index: list) -> Column:
     return F.array_max(F.transform(fitting, _rank))
 
 
-def _joined(judged: DataFrame, index: DataFrame, small: bool) -> DataFrame:
+def _joined(judged: DataFrame, index: DataFrame, small: bool, own: str) -> DataFrame:
     """The same by joins, on distinct addresses; adaptive joins split hot tokens."""
     addresses = judged.select("host", "path").distinct()
     tokens = addresses.select(
@@ -178,6 +182,6 @@ def _joined(judged: DataFrame, index: DataFrame, small: bool) -> DataFrame:
         tokens.join(F.broadcast(index) if small else index, "token")
         .where(F.rlike(F.concat("host", "path"), F.col("pattern")))
         .groupBy("host", "path")
-        .agg(F.max(_rank({c: F.col(c) for c in index.columns})).alias("_best"))
+        .agg(F.max(_rank({c: F.col(c) for c in index.columns})).alias(own))
     )
-    return judged.join(best, ["host", "path"], "left").select(*judged.columns, "_best")
+    return judged.join(best, ["host", "path"], "left").select(*judged.columns, own)

@@ -293,3 +293,13 @@ def test_decontamination_of_odd_rows(odd_docs, spark):
     assert matched(odd_docs.withColumn("item_id", F.lit(0)), benchmark) == {(None, 10): 1.0}
     assert dec.contaminated(odd_docs, benchmark.where("false")).count() == 0
     assert dec.contaminated(odd_docs.where("false"), benchmark).count() == 0
+
+
+def test_dedup_takes_any_column_names(spark, make_docs):
+    passage = "This passage stands in two documents word for word. It is long enough to be found as a run."
+    docs = make_docs((1, passage), (2, passage)).withColumns(
+        {c: F.lit(c) for c in ("marks", "_id", "id", "row", "span", "place", "a.b")}
+    )
+    found = sd.remove_repeated(docs).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["kept_text"]) for r in found] == [(1, passage), (2, "")]
+    assert all(r[c] == c for r in found for c in ("marks", "_id", "id", "row", "span", "place", "a.b"))

@@ -71,3 +71,10 @@ def test_near_copies_share_eighty_percent_of_five_words(spark, make_docs):
     assert {5001 + 2 * n for n in range(46, 56)} & kept == {5001 + 2 * n for n in (46, 47, 48)}
     tops = brute_near_copies(rows)
     assert kept == {i for i, _ in rows if tops[i] == i}
+
+
+def test_contaminated_rows_go_by_their_text(spark, sf_dir, make_docs):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, f"before {item} after"), (None, "a clean text without an id"), (7, item), (7, "clean, but of the same id"), (8, None)]
+    kept = texts(corpus_pipeline.drop_contaminated(spark, make_docs(*rows), sf_dir))
+    assert sorted(kept, key=str) == sorted([rows[1], rows[3], rows[4]], key=str)

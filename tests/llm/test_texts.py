@@ -17,6 +17,7 @@ from logsync.llm import fingerprints as fp
 from logsync.llm import language_id as lid
 from logsync.llm import license_scan as ls
 from logsync.llm import packing as pk
+from logsync.llm import text as text_tools
 from logsync.llm import toxicity as tx
 from logsync.llm.queries import QUERIES, URL_RULES, edited_fingerprints
 from logsync.llm.token_files import read_index, read_token_files, write_token_files
@@ -372,3 +373,36 @@ def test_every_query_gives_a_row_for_each_document(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     for name in ("op3_license_scan", "op4_toxicity", "op5_token_files", "op8_language_id"):
         assert QUERIES[name](spark, sf_dir).count() == n, name
+
+
+def test_url_filter_keeps_columns_of_any_name(spark):
+    urls = spark.createDataFrame([("http://x.org/es/1", "mine", "too")], "url string, _best string, _best_ string")
+    for rules in (URL_RULES, (*URL_RULES, *(uf.Rule("block", f"h{i}.net", "/") for i in range(600)))):
+        row = uf.filter_urls(urls, rules).first()
+        assert (row["_best"], row["_best_"], row["verdict"]) == ("mine", "too", "allow")
+
+
+def test_hash_bounds_leave_a_share_however_small():
+    assert text_tools.hash_bound(1.0) == (1 << 63) - 1 and text_tools.hash_bound(0.0) == -(1 << 63)
+    assert text_tools.hash_bound(0.5) == 0
+    assert text_tools.hash_bound(1e-12) > text_tools.hash_bound(0.0)
+
+
+def test_every_language_is_sampled_however_rare(spark):
+    rows = [(i, "der die das und ist nicht", "de") for i in range(3000)] + [(9000 + i, "la le les et est pas", "fr") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lid.train_language_id(docs, F.lit(True), 40).languages == ["de", "fr"]
+
+
+def test_word_tables_keep_rows_right_when_full():
+    net = lid.fresh(3)
+    chance = random.Random(2)
+    words = ["".join(chance.choices("abc\u00e9", k=chance.randrange(1, 40))).encode() for _ in range(300)]
+    whole, small = lid.WordTable(net, 1000), lid.WordTable(net, 17)
+    for low in range(0, 300, 25):
+        some = chance.choices(words[: low + 25], k=60)
+        assert np.allclose(whole.of(some), small.of(some), atol=1e-5)
+        for w, row in zip(some, whole.of(some)):
+            parts = lid.pieces(w)
+            assert row[-1] == len(w)
+            assert np.allclose(row[:-1], sum(lid._positions(net, np.frombuffer(p, np.uint8)[:, None])[1].sum(0)[0] for p in parts), atol=1e-4)
