@@ -45,7 +45,6 @@ _TOP = np.uint64((1 << 64) - 1)
 # Rows without id come after all others.
 NO_ID = (1 << 63) - 1
 RESULT = ("kept_text", "removed_sentences")
-MARKS = "\x00marks"
 
 _SENTENCE = re.compile(rb"[^.!?\n]*[.!?\n]+[ \t\r\n]*|[^.!?\n]+")
 # Sentence ends of other scripts, and scripts that set no blanks between words.
@@ -253,13 +252,14 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     )
     names = rest.columns
     joined = own.join(repeated_spans(docs), "id", "left")
-    wide = joined.select(*(F.col(f"row.{quoted(c)}") for c in names), F.col("marks").alias(MARKS))
+    # By their places, as workers are not given names with dots in them.
+    wide = joined.select(*(F.col(f"row.{quoted(c)}").alias(f"c{i}") for i, c in enumerate(names)), "marks")
     result = [T.StructField("kept_text", T.StringType()), T.StructField("removed_sentences", T.IntegerType())]
     schema = T.StructType([*rest.schema.fields, *result])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, f"c{names.index('text')}"):
             kept, removed = [], []
             for text, found in zip(texts, batch.column(len(names)).to_pylist()):
                 own, n = _without(text, found, hashes) if found else (text, 0)
