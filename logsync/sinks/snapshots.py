@@ -10,6 +10,8 @@ file is there.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +51,14 @@ def _listed(spark: SparkSession, folder: str):
     return files, sorted((p for p in found if p.getName().startswith(_NAME)), key=lambda p: p.getName(), reverse=True)
 
 
+def tries(spark: SparkSession, folder: str) -> int:
+    """Leaves a mark in ``folder`` and returns how many there are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{uuid.uuid4().hex}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    return len(files.listStatus(path.getParent()))
+
+
 def _whole(files, path) -> bool:
     return any(s.getPath().getName().startswith("part-") for s in files.listStatus(path))
 
@@ -79,10 +89,10 @@ def changes(rows: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def commit(spark: SparkSession, folder: str, changed: DataFrame) -> None:
-    """The newest snapshot and what has changed since, as the next one."""
-    number, path = newest(spark, folder)
-    rows = changed if path is None else read_snapshot(spark, folder).unionByName(changed)
+def commit(spark: SparkSession, folder: str, state: DataFrame, changed: DataFrame) -> None:
+    """The newest snapshot, as it was read, and what has changed since, as the next one."""
+    number, _ = newest(spark, folder)
+    rows = state.unionByName(changed)
     pairs = (
         rows.where(F.col("kind") == PAIR)
         .groupBy("topic", "partition", "source_topic", "source_partition")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
 from functools import reduce
 from typing import Any, Protocol
 
@@ -28,7 +27,7 @@ from ..schemas import (
     TARGET_LOG_SCHEMA,
 )
 from .order import order_for_write
-from .snapshots import PAIR, SNAPSHOT_SCHEMA, WRITER, as_covered, changes, commit, covered_of, read_snapshot
+from .snapshots import PAIR, SNAPSHOT_SCHEMA, WRITER, as_covered, changes, commit, covered_of, read_snapshot, tries
 
 # Headers that carry source coordinates where a target has no
 # columns for them.
@@ -47,9 +46,6 @@ _BATCH_SCHEMA = T.StructType(
         T.StructField("high", T.LongType()),
     ]
 )
-_ATTEMPT_SCHEMA = T.StructType([T.StructField("began", T.TimestampType())])
-
-
 class Target(Protocol):
     """What a relay needs of a sink.
 
@@ -119,10 +115,8 @@ class TableTarget:
         state = self.snapshot(spark)
         if not self._batches(state).where(own).isEmpty():
             return
-        if counts is not None:
-            # A row for each try, so that tries which failed are known.
-            tried = local_table(spark, [(datetime.now(timezone.utc),)], _ATTEMPT_SCHEMA)
-            tried.coalesce(1).write.mode("append").parquet(f"{self.path}/attempts/batch={label}")
+        # Tries that failed are known by their marks.
+        tried = 0 if counts is None else tries(spark, f"{self.path}/tries/{label}")
         if self.stage:
             staged = f"{self.path}/staged/batch={label}"
             messages.select(*MESSAGE_COLUMNS).write.mode("overwrite").parquet(staged)
@@ -155,19 +149,18 @@ class TableTarget:
                 F.col("source_next_offset").alias("high"),
             )
         if counts is not None:
-            self._write_metrics(counts, batch_id, began)
+            self._write_metrics(counts, batch_id, began, tried - 1)
         done = local_table(spark, [(self.writer, batch_id, batch_id + 1)], _BATCH_SCHEMA)
         changed = changes(pairs, PAIR).unionByName(as_covered(covered)).unionByName(changes(done, WRITER))
-        commit(spark, f"{self.path}/progress", changed)
+        commit(spark, f"{self.path}/progress", state, changed)
 
-    def _write_metrics(self, counts: DataFrame, batch_id: int, began: float) -> None:
-        spark, label = counts.sparkSession, self._label(batch_id)
-        tries = spark.read.schema(_ATTEMPT_SCHEMA).parquet(f"{self.path}/attempts/batch={label}").count()
+    def _write_metrics(self, counts: DataFrame, batch_id: int, began: float, retries: int) -> None:
+        label = self._label(batch_id)
         known = {
             "batch_id": F.lit(batch_id).cast("long"),
             "started": F.timestamp_millis(F.lit(int(began * 1000))),
             "duration_ms": F.lit(int((time.time() - began) * 1000)).cast("long"),
-            "retries": F.lit(tries - 1).cast("int"),
+            "retries": F.lit(retries).cast("int"),
         }
         row = counts.withColumns(known).select(*METRICS_SCHEMA.fieldNames())
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/metrics/batch={label}")
