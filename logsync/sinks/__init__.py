@@ -2,7 +2,7 @@
 
 from .committed import BatchSink, CommittedTarget, FolderSink, RowTarget, write_committed
 from .options import ack_policy, compression_codec, write_options
-from .order import order_for_write
+from .order import order_for_write, staged_rounds
 from .targets import KafkaTarget, TableTarget, Target, missing_from
 from .write import write_batch_idempotent, write_log, write_log_stream
 
@@ -18,6 +18,7 @@ __all__ = [
     "compression_codec",
     "missing_from",
     "order_for_write",
+    "staged_rounds",
     "write_batch_idempotent",
     "write_committed",
     "write_log",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.numbering import SLICE_WIDTH, slice_of
+from ..schemas import MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
 
 def order_for_write(
@@ -34,3 +36,22 @@ def order_for_write(
     else:
         spread = messages.repartition(*keys, *before, slice_of(offset, width))
     return spread.sortWithinPartitions(*keys, *order)
+
+
+def staged_rounds(messages: DataFrame, folder: str, width: int) -> Iterator[DataFrame]:
+    """``messages`` in parts of ``width`` source offsets of each partition, in that order.
+
+    For targets that take a partition from a single task, which is then handed no
+    more than a part of it. Messages are written to ``folder`` once, and each part
+    is read from there; those without an offset come first.
+    """
+    spark, part = messages.sparkSession, "_round"
+    rounds = messages.select(*MESSAGE_COLUMNS, slice_of("source_offset", width).alias(part))
+    rounds.repartition(part, "topic", "partition").sortWithinPartitions(part).write.partitionBy(part).parquet(folder)
+    schema = T.StructType([*MESSAGE_SCHEMA.fields, T.StructField(part, T.LongType())])
+    staged = spark.read.schema(schema).parquet(folder)
+    # Folders, of which there are as many as rounds.
+    for row in staged.select(part).distinct().orderBy(part).collect():
+        number = row[part]
+        own = F.col(part).isNull() if number is None else F.col(part) == number
+        yield staged.where(own).select(*MESSAGE_COLUMNS)

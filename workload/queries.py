@@ -52,6 +52,7 @@ from logsync.sinks import (
     RowTarget,
     TableTarget,
     order_for_write,
+    staged_rounds,
     write_batch_idempotent,
     write_log,
     write_options,
@@ -72,6 +73,9 @@ from .sinks import FailsOnce, FileBroker
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Offsets of a partition in a batch of a committed write.
+ROUND_OFFSETS = 250_000
+
 
 def _ntz(name: str):
     return F.col(name).cast("timestamp_ntz").alias(name)
@@ -503,15 +507,18 @@ def row_target_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def committed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch whose tasks are lost half-way the first time, then written again."""
-    sink = FailsOnce(run_folder(spark, "committed-write"))
+    """Batches whose tasks are lost half-way the first time, then written again."""
+    folder = run_folder(spark, "committed-write")
+    sink = FailsOnce(f"{folder}/sink")
     messages = to_message(views.event_log(spark, sf_dir), views.copy_routes(spark))
-    target = CommittedTarget(sink)
-    try:
-        target.write_batch(messages, 0)
-    except PySparkException:
-        # What a relay does when a batch fails: the same one again.
-        target.write_batch(messages, 0)
+    # A partition goes to one task, in order, so a batch has a bounded part of each.
+    target = CommittedTarget(sink, max_per_round=ROUND_OFFSETS)
+    for batch_id, some in enumerate(staged_rounds(messages, f"{folder}/messages", target.max_per_round)):
+        try:
+            target.write_batch(some, batch_id)
+        except PySparkException:
+            # What a relay does when a batch fails: the same one again.
+            target.write_batch(some, batch_id)
     return sink.read(spark).select("partition", "source_partition", "source_offset")
 
 
