@@ -27,6 +27,47 @@ def spread_out(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_a_broker_holds_few_rows_at_a_time(tmp_path):
+    alive = most = 0
+
+    class Message(SimpleNamespace):
+        def __init__(self, **fields):
+            nonlocal alive, most
+            super().__init__(**fields)
+            alive += 1
+            most = max(most, alive)
+
+        def __del__(self):
+            nonlocal alive
+            alive -= 1
+
+    def rows(partition, n):
+        for i in range(n):
+            headers = None if i % 3 else [SimpleNamespace(key="h", value=b"%d" % i)]
+            yield Message(
+                topic="t", partition=partition, source_timestamp=EPOCH, key=None, value=b"%d" % i, headers=headers
+            )
+
+    def both():
+        yield from rows(0, 35_000)
+        yield from rows(1, 5)
+
+    FileBroker(str(tmp_path))(both())
+    FileBroker(str(tmp_path))(rows(1, 2))
+    # Those that are written, and the next.
+    assert most <= 20_002
+    names = sorted(p.removeprefix(f"{tmp_path}/topic=t/") for p in glob(f"{tmp_path}/topic=t/*/*.parquet"))
+    assert names == [
+        "partition=0/000000000000-000000034999.parquet",
+        "partition=1/000000000000-000000000004.parquet",
+        "partition=1/000000000005-000000000006.parquet",
+    ]
+    table = pq.ParquetFile(f"{tmp_path}/topic=t/{names[0]}").read()
+    assert table["offset"].to_pylist() == list(range(35_000))
+    assert table["value"].to_pylist() == [b"%d" % i for i in range(35_000)]
+    assert table["headers"][3].as_py() == [{"key": "h", "value": b"3"}] and table["headers"][4].as_py() == []
+
+
 def test_rounds_of_messages_hold_a_part_of_each_partition(spark, tmp_path):
     rows = [(None, b"%d" % i, None, "x", p, "a", p, i, EPOCH) for p in (0, 1) for i in range(25)]
     rows += [(None, None, None, "x", None, "a", None, None, None)] * 2 + rows[:1]

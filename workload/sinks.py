@@ -6,7 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import batched, groupby
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -16,6 +16,18 @@ from pyspark import cloudpickle
 
 from logsync.sinks import FolderSink
 
+# Rows that a broker holds in memory at a time.
+ROWS_AT_ONCE = 10_000
+_KEPT = pa.schema(
+    [
+        ("offset", pa.int64()),
+        ("timestamp", pa.timestamp("us", "UTC")),
+        ("key", pa.binary()),
+        ("value", pa.binary()),
+        ("headers", pa.list_(pa.struct([("key", pa.string()), ("value", pa.binary())]))),
+    ]
+)
+
 # Workers get the classes of this module with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -40,25 +52,26 @@ class FileBroker:
             place = f"{self.folder}/topic={topic}/partition={partition}"
             os.makedirs(place, exist_ok=True)
             ends = [int(name.split("-")[1].split(".")[0]) for name in os.listdir(place) if name[0] != "."]
-            self._append(place, max(ends, default=-1) + 1, list(own))
+            self._append(place, max(ends, default=-1) + 1, own)
 
     @staticmethod
-    def _append(place: str, first: int, rows: list) -> None:
-        header = pa.struct([("key", pa.string()), ("value", pa.binary())])
-        table = pa.table(
-            {
-                "offset": pa.array(range(first, first + len(rows)), pa.int64()),
-                "timestamp": pa.array([r.source_timestamp for r in rows], pa.timestamp("us", "UTC")),
-                "key": pa.array([r.key for r in rows], pa.binary()),
-                "value": pa.array([r.value for r in rows], pa.binary()),
-                "headers": pa.array([[(h.key, h.value) for h in r.headers or []] for r in rows], pa.list_(header)),
-            }
-        )
-        name = f"{first:012d}-{first + len(rows) - 1:012d}.parquet"
+    def _append(place: str, first: int, rows: Iterator) -> None:
         # There at once or not at all.
-        hidden = f"{place}/.{uuid.uuid4().hex}"
-        pq.write_table(table, hidden)
-        os.replace(hidden, f"{place}/{name}")
+        hidden, end = f"{place}/.{uuid.uuid4().hex}", first
+        with pq.ParquetWriter(hidden, _KEPT) as file:
+            # A partition may be long: rows go on their way as they come.
+            for some in batched(rows, ROWS_AT_ONCE):
+                columns = [
+                    range(end, end + len(some)),
+                    [r.source_timestamp for r in some],
+                    [r.key for r in some],
+                    [r.value for r in some],
+                    [[(h.key, h.value) for h in r.headers or []] for r in some],
+                ]
+                arrays = [pa.array(column, kind.type) for column, kind in zip(columns, _KEPT)]
+                file.write_table(pa.Table.from_arrays(arrays, schema=_KEPT))
+                end += len(some)
+        os.replace(hidden, f"{place}/{first:012d}-{end - 1:012d}.parquet")
 
 
 class FailsOnce(FolderSink):
