@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .lookup import LITERAL_ROWS, bounded_rows, fits
-from .numbering import SLICE_WIDTH, slice_of
+from .numbering import slice_of
 
 PARTITION_KEYS = ["topic", "partition"]
 # Offsets of a bitmap.
 STRETCH = 32_768
+# Offsets of a slice in which a record is compared with intervals, one after the other.
+COMPARED = 1_024
 INTERVAL_SCHEMA = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -118,7 +120,7 @@ def outside_intervals(
     intervals: DataFrame,
     literal_rows: int = LITERAL_ROWS,
     broadcast_rows: int | None = None,
-    width: int = SLICE_WIDTH,
+    width: int = COMPARED,
 ) -> DataFrame:
     """Records of ``log`` whose offsets are in none of their partition's intervals.
 

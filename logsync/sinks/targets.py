@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.headers import append_headers, single_header
-from ..operators.lookup import BROADCAST_ROWS, LITERAL_ROWS, bounded_rows, local_table, lookup_join
+from ..operators.lookup import LITERAL_ROWS, bounded_rows, local_table, lookup_join
 from ..operators.numbering import SLICE_WIDTH, assign_target_offsets
 from ..schemas import (
     CATALOG_SCHEMA,
@@ -38,6 +38,9 @@ SOURCE_OFFSET_HEADER = "_so"
 # Offsets of a source partition that a target which must take a partition from
 # one task, in order, is handed at a time.
 ORDERED_ROWS = 1_000_000
+# Rows of a snapshot that are taken to the driver; each batch does so, and logs with
+# many gaps have many more.
+SNAPSHOT_ROWS = 2_000
 
 _BATCH_SCHEMA = T.StructType(
     [
@@ -88,7 +91,7 @@ class TableTarget:
     def snapshot(self, spark: SparkSession) -> DataFrame:
         """The newest snapshot, at the driver where it is small."""
         state = read_snapshot(spark, f"{self.path}/progress")
-        rows = bounded_rows(state, BROADCAST_ROWS)
+        rows = bounded_rows(state, SNAPSHOT_ROWS)
         return state if rows is None else local_table(spark, rows, SNAPSHOT_SCHEMA)
 
     def _batches(self, snapshot: DataFrame) -> DataFrame:
