@@ -221,22 +221,34 @@ def _independent(
 ) -> np.ndarray:
     """A vector for ``value`` orthogonal to those found for values next to it."""
     span = high - low
-    best, most = np.zeros(len(diagonal)), -1.0
+    best, least = np.zeros(len(diagonal)), math.inf
+    enough = 64 * EPS * max(float(np.square(diagonal).max(initial=0.0)), float(np.square(above).max(initial=0.0)), TINY)
     for twist in (None, *range(0, span, max(1, span // 16))):
         z = np.zeros(len(diagonal))
         z[low:high] = twisted(diagonal[low:high], above[low : high - 1], value, twist)
         for _ in range(2):
             z -= others @ (others.T @ z)
         left = float(np.linalg.norm(z))
-        if left > most:
-            best, most = z / max(left, TINY), left
+        z /= max(left, TINY)
+        # What is left of it may be new and yet no vector for the value.
+        off = _off(diagonal, above, value, z) if left > EPS else math.inf
+        if off < least or not best.any():
+            best, least = z, off
         # Half of it is new, so orthogonalising has lost no more than a bit.
-        if left > 0.5:
+        if left > 0.5 and off <= enough:
             break
     best -= others @ (others.T @ best)
     return best / np.linalg.norm(best)
 
 
+def _off(diagonal: np.ndarray, above: np.ndarray, value: float, z: np.ndarray) -> float:
+    """How far ``B'B z`` is from ``value z``."""
+    image = _gram(diagonal, above, z[:, None])[:, 0]
+    back = diagonal * image
+    back[1:] += above * image[:-1]
+    return float(np.abs(back - value * z).max())
+
+
 def _turned(diagonal: np.ndarray, above: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Values and vectors of B within the span of orthonormal columns, by plane rotations."""
     images = _gram(diagonal, above, z)
